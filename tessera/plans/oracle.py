@@ -70,7 +70,7 @@ sizes AS (SELECT aud, per, fmts, len(aud) AS na, len(per) AS np, len(fmts) AS nf
 sets AS (
   SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) AS principles,
          list_sort(list_transform(list_sort(list(DISTINCT o_orderstatus)),
-                   s -> 'leaving orders in status ' || s)) AS mistakes
+                   lambda s: 'leaving orders in status ' || s)) AS mistakes
   FROM orders GROUP BY o_custkey
 ),
 topo AS (
