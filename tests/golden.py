@@ -1,0 +1,60 @@
+"""Golden inputs for the generator test, read from files named by
+environment variables (nothing is imported or executed from them):
+
+* ``TESSERA_GOLDEN_DEFS``: a Python source file holding the definition
+  records as dict literals, ``{subtopic: {"def", "principles", "examples",
+  "mistakes"}}`` per skill, plus one registry dict ``{skill: <name of such a
+  dict>}``; it is parsed with ``ast`` and only literals are evaluated;
+* ``TESSERA_GOLDEN_MANIFEST``: the published manifest (JSON lines).
+"""
+
+from __future__ import annotations
+
+import ast
+import json
+import os
+
+DEFS_ENV = "TESSERA_GOLDEN_DEFS"
+MANIFEST_ENV = "TESSERA_GOLDEN_MANIFEST"
+RECORD_KEYS = {"def", "principles", "examples", "mistakes"}
+
+
+def available() -> bool:
+    return all(os.path.isfile(os.environ.get(k, "")) for k in (DEFS_ENV, MANIFEST_ENV))
+
+
+def _is_record_table(v) -> bool:
+    return (isinstance(v, dict) and v
+            and all(isinstance(r, dict) and set(r) == RECORD_KEYS for r in v.values()))
+
+
+def definition_rows(path: str | None = None) -> list[tuple]:
+    """``(skill, subtopic, def, principles, examples, mistakes)`` rows."""
+    tree = ast.parse(open(path or os.environ[DEFS_ENV], encoding="utf-8").read())
+    literals, registries = {}, []
+    for node in tree.body:
+        if not (isinstance(node, ast.Assign) and len(node.targets) == 1
+                and isinstance(node.targets[0], ast.Name)):
+            continue
+        name = node.targets[0].id
+        if isinstance(node.value, ast.Dict) and node.value.values and all(
+                isinstance(v, ast.Name) for v in node.value.values):
+            registries.append({ast.literal_eval(k): v.id
+                               for k, v in zip(node.value.keys, node.value.values)})
+            continue
+        try:
+            literals[name] = ast.literal_eval(node.value)
+        except (ValueError, SyntaxError):
+            continue
+    reg = next(r for r in registries if all(_is_record_table(literals.get(v)) for v in r.values()))
+    rows = []
+    for skill, table_name in reg.items():
+        for sub, rec in literals[table_name].items():
+            rows.append((skill, sub, rec["def"], list(rec["principles"]), list(rec["examples"]),
+                         list(rec["mistakes"])))
+    return rows
+
+
+def manifest_rows(path: str | None = None) -> list[dict]:
+    with open(path or os.environ[MANIFEST_ENV], encoding="utf-8") as f:
+        return [json.loads(line) for line in f if line.strip()]
