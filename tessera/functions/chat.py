@@ -35,6 +35,45 @@ def json_string(c) -> Column:
     return j.substr(F.lit(2), F.length(j) - 2)
 
 
+def json_escape_text(text: str) -> str:
+    """JSON string escaping of a driver-side constant, as ``to_json`` does it
+    (quotes and backslashes, named escapes for \\b \\f \\n \\r \\t, upper-case
+    ``\\u00XX`` for the other control characters; non-ASCII kept)."""
+    named = {'"': '\\"', "\\": "\\\\", "\b": "\\b", "\f": "\\f", "\n": "\\n", "\r": "\\r",
+             "\t": "\\t"}
+    out = []
+    for ch in text:
+        if ch in named:
+            out.append(named[ch])
+        elif ord(ch) < 0x20:
+            out.append("\\u%04X" % ord(ch))
+        else:
+            out.append(ch)
+    return "".join(out)
+
+
+def json_escaped(c) -> Column:
+    """The JSON escaping of ``c`` without the surrounding quotes."""
+    j = F.to_json(F.array(_col(c)))
+    return j.substr(F.lit(3), F.length(j) - 4)
+
+
+def canonical_pair_line_parts() -> tuple[str, str, str]:
+    return ('{"messages": [{"role": "user", "content": "',
+            '"}, {"role": "assistant", "content": "', '"}]}')
+
+
+def canonical_pair_line(user_escaped, assistant_escaped) -> Column:
+    """Canonical line of a user/assistant pair from already-escaped texts.
+
+    Escaping works character by character, so the escaped form of a filled
+    template is the escaped template filled with escaped values; callers
+    use that to avoid escaping long generated texts row by row."""
+    head, mid, tail = canonical_pair_line_parts()
+    return F.concat(F.lit(head), _col(user_escaped), F.lit(mid), _col(assistant_escaped),
+                    F.lit(tail))
+
+
 def canonical_line(messages="messages") -> Column:
     """The entry as one JSON line with ``", "`` and ``": "`` separators and
     non-ASCII kept, i.e. the text a ``json.dumps(entry, ensure_ascii=False)``

@@ -81,7 +81,7 @@ def template_parts(template: str) -> tuple[list[str], list[str]]:
     return pieces, names
 
 
-def fill(template: str, values: Mapping[str, Column]) -> Column:
+def fill(template: str, values: Mapping[str, Column], literal=lambda piece: piece) -> Column:
     """Fill a fixed (driver-side constant) template with column values.
 
     Compiles to one ``concat`` of literals and columns, so it stays inside
@@ -94,10 +94,10 @@ def fill(template: str, values: Mapping[str, Column]) -> Column:
     parts: list[Column] = []
     for piece, name in zip(pieces, names):
         if piece:
-            parts.append(F.lit(piece))
+            parts.append(F.lit(literal(piece)))
         parts.append(_col(values[name]))
     if pieces[-1]:
-        parts.append(F.lit(pieces[-1]))
+        parts.append(F.lit(literal(pieces[-1])))
     return F.concat(*parts)
 
 
@@ -123,3 +123,25 @@ def substitute(template, values: Mapping[str, Column]) -> Column:
     filled = F.concat(joined, F.element_at(pieces, -1))
     ok = F.forall(vals, lambda v: v.isNotNull())
     return F.when(ok, filled)
+
+
+def fill_length(template: str, values: Mapping[str, Column]) -> Column:
+    """``length(fill(template, values))`` without building the string: the
+    literal characters are counted once on the driver."""
+    pieces, names = template_parts(template)
+    total = F.lit(sum(len(p) for p in pieces)).cast("bigint")
+    for name in names:
+        total = total + F.length(_col(values[name])).cast("bigint")
+    return total
+
+
+def fill_octets(template: str, values: Mapping[str, Column],
+                literal=lambda piece: piece) -> Column:
+    """``octet_length`` of the filled template without building it;
+    ``literal`` maps each literal piece first (e.g. to its JSON escaping,
+    with ``values`` already escaped)."""
+    pieces, names = template_parts(template)
+    total = F.lit(sum(len(literal(p).encode("utf-8")) for p in pieces)).cast("bigint")
+    for name in names:
+        total = total + F.octet_length(_col(values[name])).cast("bigint")
+    return total

@@ -51,6 +51,12 @@ def chat_manifest(entries: DataFrame, group: Sequence[str] = GROUP_COLUMNS) -> D
                           canonical_line_bytes("messages") + F.lit(1), group)
 
 
+def measured_manifest(entries: DataFrame, group: Sequence[str] = GROUP_COLUMNS) -> DataFrame:
+    """Manifest of entries that carry their own measures (``chars``,
+    ``line_bytes``), as the generator's entries do."""
+    return build_manifest(entries, F.col("chars"), F.col("line_bytes"), group)
+
+
 def file_manifest(scanned: DataFrame) -> DataFrame:
     """Manifest of a scanned corpus (``sources.scan_chat``): bytes are the
     physical file sizes, counted once per file; broken lines (parsed to
