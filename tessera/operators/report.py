@@ -32,7 +32,7 @@ def ranked(manifest: DataFrame, order: Sequence[str] = SKILL_ORDER,
     as a column because consumers may compare rows unordered."""
     m = manifest.withColumn("rank", rank_of(F.col("skill"), order, unknown))
     w = Window.orderBy("rank", "subtopic", "skill")
-    return m.withColumn("position", F.row_number().over(w))
+    return m.withColumn("position", F.row_number().over(w).cast("bigint"))
 
 
 def totals(manifest: DataFrame) -> DataFrame:

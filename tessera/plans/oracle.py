@@ -172,7 +172,7 @@ SELECT CAST(o.rank AS INTEGER) AS rank, o.skill,
        CAST(coalesce(files, 0) AS BIGINT) AS files, CAST(coalesce(entries, 0) AS BIGINT) AS entries,
        CAST(coalesce(approx_tokens, 0) AS BIGINT) AS approx_tokens,
        CAST(coalesce(bytes, 0) AS BIGINT) AS bytes,
-       round(coalesce(bytes, 0) / 1048576.0, 1) AS size_mb
+       round(CAST(coalesce(bytes, 0) AS DOUBLE) / 1048576.0, 1) AS size_mb
 FROM o LEFT JOIN r ON o.skill = r.skill""",
         "coverage_table": f"""
 SELECT CASE WHEN grouping(skill) = 1 THEN 'Total' ELSE skill END AS skill,
