@@ -48,17 +48,27 @@ def test_walk_matches_brute_force():
         assert dedup._walk(raw, target, attempts, period=n) == want
 
 
-def test_visit_plan_in_spark(spark):
+@pytest.mark.parametrize("batch", [10000, 7])
+def test_visit_plan_in_spark(spark, batch):
+    """Small Arrow batches split groups across batches (and a null group
+    value is a group of its own)."""
     rng = random.Random(3)
     rows, want = [], {}
-    for g in range(5):
+    for g in [*range(12), None]:
+        name = None if g is None else f"g{g}"
         keys = [rng.choice([None, "k1", "k2", "k3", f"u{g}", "k4"]) for _ in range(41)]
-        rows += [(f"g{g}", "s", i, k) for i, k in enumerate(keys)]
-        want[f"g{g}"] = reference_walk(lambda i: keys[i], 10, 30)
+        rows += [(name, "s", i, k) for i, k in enumerate(keys)]
+        want[name] = reference_walk(lambda i: keys[i], 10, 30)
+    rng.shuffle(rows)
     df = spark.createDataFrame(rows, "skill string, subtopic string, idx long, key string")
-    got = {}
-    for r in dedup.visit_plan(df, ["skill", "subtopic"], 10, 30).collect():
-        got.setdefault(r["skill"], []).append(r["idx"])
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = {}
+        for r in dedup.visit_plan(df, ["skill", "subtopic"], 10, 30).collect():
+            got.setdefault(r["skill"], []).append(r["idx"])
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in want.items() if v}
 
 
