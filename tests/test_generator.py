@@ -101,6 +101,18 @@ def test_generated_entries(spark):
         assert r["answer"].split("|")[4] == ["e1", "e2", "e3", "e4"][r["idx"] % 4]
 
 
+def test_large_grid_is_decoded_in_place(spark, monkeypatch):
+    """Beyond the broadcast bound the dimensions are decoded from idx (no
+    grid table); the entries are the same."""
+    groups = spark.createDataFrame(DEFS, DEFINITION)
+    cols = ["skill", "subtopic", "idx", "prompt", "answer", "line", "chars", "line_bytes"]
+    want = sorted(synth.generate(groups, GRID, target=100, attempts=500).select(*cols).collect())
+    monkeypatch.setattr(synth, "GRID_BROADCAST_ROWS", 0)
+    plan = synth.generate(groups, GRID, target=100, attempts=500)
+    assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert sorted(plan.select(*cols).collect()) == want
+
+
 def test_generation_failures_are_dropped(spark):
     bad = [("s3", "no_examples", "d", ["p"], [], ["m"]),
            ("s3", "no_def", None, ["p"], ["e"], ["m"])]
