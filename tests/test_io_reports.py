@@ -54,10 +54,12 @@ def test_manifest_sink_and_scan(spark, tmp_dir):
     out = os.path.join(tmp_dir, "index.jsonl")
     write_manifest(m, out)
     back = scan_manifest(spark, out).collect()
-    assert [r["skill"] for r in back] == ["thinking", "coding", "other"]  # rank order, unknown last
-    text = open([os.path.join(out, f) for f in os.listdir(out) if f.startswith("part-")][0]).read()
-    first = json.loads(text.splitlines()[0])
-    assert text.splitlines()[0] == json.dumps(first)
+    assert sorted(r["skill"] for r in back) == ["coding", "other", "thinking"]
+    # part files in name order hold the lines in rank order, unknown last
+    parts = sorted(f for f in os.listdir(out) if f.startswith("part-"))
+    lines = [ln for f in parts for ln in open(os.path.join(out, f)).read().splitlines()]
+    assert [json.loads(ln)["skill"] for ln in lines] == ["thinking", "coding", "other"]
+    assert lines[0] == json.dumps(json.loads(lines[0]))
 
 
 def test_reports(spark):
