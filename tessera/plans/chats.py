@@ -12,7 +12,7 @@ from tessera.functions.chat import (canonical_line, canonical_line_bytes, conten
                                     first_content)
 from tessera.functions.text import content_hash
 from tessera.operators import chat
-from tessera.operators.manifest import MANIFEST_COLUMNS, chat_manifest as _chat_manifest
+from tessera.operators.manifest import MANIFEST_COLUMNS, build_manifest
 from tessera.sources.tables import table
 
 
@@ -48,4 +48,11 @@ def chat_stats(spark: SparkSession, root: str) -> DataFrame:
 
 
 def chat_manifest(spark: SparkSession, root: str) -> DataFrame:
-    return _chat_manifest(grouped_threads(spark, root)).select(*MANIFEST_COLUMNS)
+    """Manifest of the two thread files, measured from the turn rows (per
+    thread partial aggregates; no thread is assembled)."""
+    turns = table(spark, root, "conversations", "conv_id", "turn", "role", "text")
+    t = chat.thread_measures(turns)
+    sub = F.when(F.col("first_role") == "system", F.lit("with_system")).otherwise(F.lit("plain"))
+    t = t.select(F.lit("conversations").alias("skill"), sub.alias("subtopic"), "chars",
+                 "line_bytes")
+    return build_manifest(t, F.col("chars"), F.col("line_bytes")).select(*MANIFEST_COLUMNS)

@@ -78,3 +78,19 @@ def test_fill_and_substitute(spark):
     assert one(spark, substitute(F.lit("{topic}-{audience}"), vals)) == "{audience}-B"
     # an unknown placeholder fails the row
     assert one(spark, substitute(F.lit("{topic}-{nope}"), vals)) is None
+
+
+def test_thread_measures_equal_assembled_lines(spark):
+    from tessera.operators import chat
+    turns = spark.createDataFrame(
+        [(1, 1, "user", 'he said "hi"\n\tand left'), (1, 0, "system", "rules: ä ö — 😀"),
+         (1, 2, "assistant", 'a\\b ": " c'), (2, 0, "user", "x"), (2, 1, "assistant", "")],
+        "conv_id long, turn long, role string, text string")
+    got = {r["conv_id"]: r for r in chat.thread_measures(turns).collect()}
+    for t in chat.assemble(turns).collect():
+        msgs = [{"role": m["role"], "content": m["content"]} for m in t["messages"]]
+        line = json.dumps({"messages": msgs}, ensure_ascii=False)
+        g = got[t["conv_id"]]
+        assert g["line_bytes"] == len(line.encode("utf-8")) + 1
+        assert g["chars"] == sum(len(m["content"]) for m in msgs)
+        assert g["first_role"] == msgs[0]["role"]
