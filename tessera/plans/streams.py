@@ -8,6 +8,8 @@ session (``spark.checkpoint.dir``), never in a machine-local folder.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,23 +23,33 @@ from tessera.sources.tables import table
 from tessera.streaming import (parquet_stream, read_snapshot, read_survivors, run_dedup_stream,
                                run_manifest_stream)
 
-STAGE_FILES = 4
+STAGE_BATCHES = 4
 STREAM_TIMEOUT_S = 900
 
 
-def _stage_documents(spark: SparkSession, root: str) -> str:
-    """Land the documents table as several files, as if they arrived one by
-    one (one micro-batch per file)."""
+def _stage_documents(spark: SparkSession, root: str) -> tuple[str, int]:
+    """Land the documents table as files, as if they arrived in
+    ``STAGE_BATCHES`` waves; returns the folder and the files per
+    micro-batch.
+
+    No shuffle: every scan task writes its own files, and a record limit
+    per file (a quarter of the rows) makes even a small table arrive as
+    several files; the file count grows with the table, and the files per
+    micro-batch with it.
+    """
     stage = scratch_path(spark, "arrivals")
     docs = table(spark, root, "documents", "doc_id", "lang", "source", "text")
-    docs.repartition(STAGE_FILES, "doc_id").write.mode("overwrite").parquet(stage)
-    return stage
+    rows = docs.count()
+    per_file = max(1, math.ceil(rows / STAGE_BATCHES))
+    docs.write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(stage)
+    n_files = len(spark.read.parquet(stage).inputFiles())
+    return stage, max(1, math.ceil(n_files / STAGE_BATCHES))
 
 
 def stream_manifest(spark: SparkSession, root: str) -> DataFrame:
-    stage = _stage_documents(spark, root)
+    stage, per_batch = _stage_documents(spark, root)
     schema = spark.read.parquet(stage).schema
-    src = parquet_stream(spark, stage, schema, files_per_batch=1)
+    src = parquet_stream(spark, stage, schema, files_per_batch=per_batch)
     snap = scratch_path(spark, "manifest-snapshot")
     run_manifest_stream(spark, src, ("lang", "source"), F.length("text"), F.octet_length("text"),
                         snap, scratch_path(spark, "manifest-ckpt"), STREAM_TIMEOUT_S)
@@ -47,9 +59,9 @@ def stream_manifest(spark: SparkSession, root: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, root: str) -> DataFrame:
     """Keys that survive the streaming first-seen dedup; which row survives
     depends on arrival order, so only keys are reported."""
-    stage = _stage_documents(spark, root)
+    stage, per_batch = _stage_documents(spark, root)
     schema = spark.read.parquet(stage).schema
-    src = parquet_stream(spark, stage, schema, files_per_batch=1)
+    src = parquet_stream(spark, stage, schema, files_per_batch=per_batch)
     keyed = src.select("doc_id", "lang", "source", content_hash(F.col("text")).alias("text_md5"))
     sink = scratch_path(spark, "dedup-sink")
     run_dedup_stream(spark, keyed, ["lang", "source", "text_md5"], sink,
