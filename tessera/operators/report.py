@@ -31,8 +31,28 @@ def ranked(manifest: DataFrame, order: Sequence[str] = SKILL_ORDER,
     ``position`` (1-based place in the order rank, subtopic). Rank is kept
     as a column because consumers may compare rows unordered."""
     m = manifest.withColumn("rank", rank_of(F.col("skill"), order, unknown))
-    w = Window.orderBy("rank", "subtopic", "skill")
-    return m.withColumn("position", F.row_number().over(w).cast("bigint"))
+    return global_position(m, ["rank", "subtopic", "skill"], "position")
+
+
+def global_position(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """``name`` = 1-based place of each row in the total ``order`` (which
+    must be unique per row), without a single-partition window.
+
+    The rows are range-partitioned on the order, numbered inside each
+    range, and shifted by the row count of the ranges before it. The
+    offsets table has one row per partition, so it is broadcast; both uses
+    of the range-partitioned rows share one exchange.
+    """
+    ranged = df.repartitionByRange(*[F.col(c) for c in order]) \
+        .withColumn("_part", F.spark_partition_id())
+    local = ranged.withColumn(
+        "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    counts = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(
+        "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"))
+    out = local.join(F.broadcast(offsets), "_part", "inner")
+    return out.withColumn(name, (F.col("_offset") + F.col("_local")).cast("bigint")) \
+        .select(*df.columns, name)
 
 
 def totals(manifest: DataFrame) -> DataFrame:

@@ -81,3 +81,22 @@ def test_subset_by_manifest(spark):
     ent = _entries(spark)
     chosen = chat_manifest(ent).where("entries >= 2")
     assert {r["skill"] for r in subset.by_manifest(ent, chosen).collect()} == {"thinking"}
+
+
+def test_global_position_over_many_ranges(spark):
+    import random
+    rng = random.Random(5)
+    rows = [(rng.randint(0, 5), f"sub{rng.randint(0, 10**6):07d}", f"s{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "rank int, subtopic string, skill string").repartition(7)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = report.global_position(df, ["rank", "subtopic", "skill"], "position")
+        ranges = df.repartitionByRange("rank", "subtopic", "skill") \
+            .select(F.spark_partition_id().alias("p")).distinct().count()
+        assert ranges > 1
+        got = {(r["rank"], r["subtopic"], r["skill"]): r["position"] for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    want = {k: i + 1 for i, k in enumerate(sorted(got))}
+    assert got == want and len(got) == len(rows)
