@@ -1,17 +1,18 @@
 """Incremental manifest over files as they arrive (Structured Streaming).
 
 A file stream feeds a stateful aggregation on the group columns that keeps
-``entries, bytes, chars`` per group in the state store; each micro-batch
-emits the complete (small, one row per group) manifest and
-``foreachBatch`` overwrites a snapshot table, which is idempotent when a
-batch is replayed after a failure. Tokens are derived from the summed
-characters only when the snapshot is read, because floors do not add.
+``entries, bytes, chars`` per group in the state store. The stream runs in
+``update`` mode: each micro-batch emits only the groups it changed, and
+``foreachBatch`` writes them to a folder named by the batch id
+(overwritten when a batch is replayed after a failure, so replays are
+idempotent). The manifest is the latest row of each group across those
+folders, so no batch rewrites the groups it did not touch. Tokens are
+derived from the summed characters only when the manifest is read,
+because floors do not add.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,10 +29,10 @@ def run_manifest_stream(spark: SparkSession, source: DataFrame, group: tuple[str
         F.sum(nbytes.cast("bigint")).alias("bytes"),
         F.sum(chars.cast("bigint")).alias("chars"))
 
-    def snapshot(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(snapshot_path)
+    def write_changes(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{snapshot_path}/batch={batch_id}")
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(snapshot)
+    q = (agg.writeStream.outputMode("update").foreachBatch(write_changes)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     if q.isActive:
@@ -42,8 +43,13 @@ def run_manifest_stream(spark: SparkSession, source: DataFrame, group: tuple[str
 
 
 def read_snapshot(spark: SparkSession, snapshot_path: str, group: tuple[str, str]) -> DataFrame:
-    snap = spark.read.parquet(snapshot_path)
-    renamed = snap.withColumnRenamed(group[0], "skill").withColumnRenamed(group[1], "subtopic")
+    """The manifest: per group, the row of the latest batch that changed it
+    (``max_by`` on the batch id, a partial aggregate)."""
+    changes = spark.read.parquet(snapshot_path)
+    latest = changes.groupBy(*group).agg(
+        F.max_by(F.struct("entries", "bytes", "chars"), F.col("batch")).alias("_m"))
+    renamed = latest.select(F.col(group[0]).alias("skill"), F.col(group[1]).alias("subtopic"),
+                            "_m.entries", "_m.bytes", "_m.chars")
     return _finish(renamed, ("skill", "subtopic")).select(*MANIFEST_COLUMNS)
 
 
