@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import bpe, simhash
+from tessera.llm import bpe, quality, shard, simhash, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -28,13 +28,42 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_read(spark, sf_dir, "pages"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the shards, reads them back and digests what stands in them."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = shard.read_slots(spark, shard.write_shards(docs), docs.schema)
+    return rows.select("doc_id", shard.size_of(F.col("text")).alias("size"),
+                       F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+                       F.lit("key").alias("law"), F.col("_shard").alias("shard"),
+                       F.col("_slot").alias("slot"),
+                       shard.shard_of(F.col("doc_id"), shard.SHARDS + 1).alias("grown_shard"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op4_url_filter": op4_url_filter,
+    "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
+    "op9_shards": op9_shards,
+    "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_url_filter": url_filter.oracle(),
+}
