@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import bpe, quality, shard, simhash, toxicity, url_filter
+from tessera.llm import bpe, decontaminate, line_dedup, quality, shard, simhash, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -28,10 +28,21 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(_read(spark, sf_dir, "documents"),
+                                 _read(spark, sf_dir, "benchmark"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_read(spark, sf_dir, "pages"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.deduplicate(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "text", F.col("_lines").alias("n_lines"),
+                       F.col("_removed").alias("n_removed"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -57,7 +68,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_decontaminate": op3_decontaminate,
     "op4_url_filter": op4_url_filter,
+    "op5_line_dedup": op5_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
     "op9_shards": op9_shards,
