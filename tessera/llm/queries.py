@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import bpe, decontaminate, line_dedup, quality, shard, simhash, toxicity, url_filter
+from tessera.llm import bpe, decontaminate, license_scan, line_dedup, quality, shard, simhash, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -43,6 +43,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("_removed").alias("n_removed"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_url_filter": op4_url_filter,
     "op5_line_dedup": op5_line_dedup,
+    "op6_license_scan": op6_license_scan,
     "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
     "op9_shards": op9_shards,
