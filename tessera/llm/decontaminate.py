@@ -253,12 +253,14 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     decision is taken where the text is read, so texts are not shuffled."""
     spark = docs.sparkSession
     for block in blocks_of(benchmark):
-        tables = spark.sparkContext.broadcast(compile_items(block))
+        docs = docs.where(~_holds(spark.sparkContext.broadcast(compile_items(block)))(F.col("text")))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def holds(texts: pd.Series, tables=tables) -> pd.Series:
-            found = {n for n, _, _ in find(tables.value, texts.tolist())}
-            return pd.Series([n in found for n in range(len(texts))], dtype=bool)
 
-        docs = docs.where(~holds(F.col("text")))
-    return docs
+def _holds(tables):
+    @F.pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        found = {n for n, _, _ in find(tables.value, texts.tolist())}
+        return pd.Series([n in found for n in range(len(texts))], dtype=bool)
+
+    return holds

@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import bpe, decontaminate, license_scan, line_dedup, quality, shard, simhash, toxicity, url_filter
+from tessera.llm import (bpe, decontaminate, html_mincut, license_scan, line_dedup, quality, shard,
+                         simhash, toxicity, url_filter)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -22,6 +23,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_mincut.extract(_read(spark, sf_dir, "pages")) \
+        .withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components_of(_read(spark, sf_dir, "documents"), shingle=3)
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"),
@@ -70,7 +76,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_mincut": op1_html_mincut,
     "op2_simhash": op2_simhash,
     "op3_decontaminate": op3_decontaminate,
     "op4_url_filter": op4_url_filter,
@@ -80,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_shards": op9_shards,
     "op10_quality": op10_quality,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {

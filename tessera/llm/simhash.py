@@ -15,15 +15,13 @@ Groups. Distinct fingerprints only are compared, so exact copies cost one row.
 In each meeting group all members are first held against the group's smallest
 fingerprint (a star, linear in the group). Only groups that still hold several
 components are searched for links between different components, and there on
-18 further bits: of the other 36 bits at most 3 differ, so three of their six
-6-bit parts agree. Such a group is bounded by the 2^18 values of the bits left.
+9 further bits: of the other 36 bits at most 3 differ, so one of their four
+9-bit parts agrees.
 Nothing is dropped at any size: the components are those of all links.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -118,8 +116,8 @@ def _within(a: Column, b: Column, key: Column) -> Column:
 
 
 def _refined(rows: DataFrame) -> DataFrame:
-    """Every row once for each choice of three of the six 6-bit parts of the
-    36 bits that its key leaves open."""
+    """Every row once for each of the four 9-bit parts of the 36 bits that its
+    key leaves open."""
     start, half = F.shiftright("key", 29), F.shiftright("key", 28).bitwiseAND(F.lit(1))
     turned = F.lit(0).cast("long")
     for s in range(RING):
@@ -128,9 +126,8 @@ def _refined(rows: DataFrame) -> DataFrame:
         "_rest", F.shiftleft(F.when(half == 0, _field(F.col("_t"), 28, 12))
                              .otherwise(_field(F.col("_t"), 16, 12)), 24)
         .bitwiseOR(_field(F.col("_t"), 40, 24)))
-    part = [F.shiftrightunsigned("_rest", 30 - 6 * i).bitwiseAND(F.lit(63)) for i in range(6)]
-    subkeys = [F.lit(n << 18).bitwiseOR(F.shiftleft(part[i], 12)).bitwiseOR(F.shiftleft(part[j], 6))
-               .bitwiseOR(part[k]) for n, (i, j, k) in enumerate(combinations(range(6), 3))]
+    subkeys = [F.lit(i << 9).bitwiseOR(F.shiftrightunsigned("_rest", 27 - 9 * i)
+                                       .bitwiseAND(F.lit(511))) for i in range(4)]
     return rows.withColumn("sub", F.explode(F.array(*subkeys))).drop("_t", "_rest")
 
 
