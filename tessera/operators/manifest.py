@@ -57,10 +57,12 @@ def measured_manifest(entries: DataFrame, group: Sequence[str] = GROUP_COLUMNS)
     return build_manifest(entries, F.col("chars"), F.col("line_bytes"), group)
 
 
-def file_manifest(scanned: DataFrame) -> DataFrame:
+def file_manifest(scanned: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Manifest of a scanned corpus (``sources.scan_chat``): bytes are the
     physical file sizes, counted once per file; broken lines (parsed to
-    null) are not entries.
+    null) are not entries. With the listing ``files`` (``sources.list_files``)
+    a group whose files are empty has a row with zero entries; files with an
+    odd name belong to no group (see :func:`odd_files`).
 
     Aggregates to one row per file first (the file size repeats on every
     row of that file), then per group over those few rows.
@@ -72,23 +74,44 @@ def file_manifest(scanned: DataFrame) -> DataFrame:
         F.count(F.when(ok, F.lit(1))).alias("entries"),
         F.coalesce(F.sum(F.when(ok, content_chars("messages"))), F.lit(0)).alias("chars"),
         F.max("file_size").alias("file_size"))
+    if files is not None:
+        empty = files.where(~F.col("odd_name") & (F.col("file_size") == 0)) \
+            .select(*GROUP_COLUMNS, "file_path", F.lit(0).cast("bigint").alias("entries"),
+                    F.lit(0).cast("bigint").alias("chars"), "file_size")
+        per_file = per_file.select(*empty.columns).unionByName(empty)
     per_group = per_file.groupBy(*GROUP_COLUMNS).agg(
         F.sum("entries").alias("entries"), F.sum("file_size").alias("bytes"),
         F.sum("chars").alias("chars"))
     return _finish(per_group, GROUP_COLUMNS)
 
 
-def line_audit(lines: DataFrame) -> DataFrame:
+def odd_files(files: DataFrame) -> DataFrame:
+    """How many listed files there are, and how many of them are empty or have
+    a name without a group: nothing is skipped uncounted."""
+    return files.agg(F.count(F.lit(1)).alias("files"),
+                     F.count(F.when(F.col("file_size") == 0, 1)).alias("empty_files"),
+                     F.count(F.when(F.col("odd_name"), 1)).alias("odd_files"))
+
+
+def line_audit(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Per file: physical lines, blank lines and lines that do not parse to
     an entry with messages (from ``sources.scan_chat_lines``). Nothing is
-    dropped without being counted."""
+    dropped without being counted; with the listing ``files`` empty files
+    have a row of zeros too."""
     blank = F.trim(F.col("line")) == ""
     broken = ~blank & (F.col("entry").isNull() | F.col("entry.messages").isNull())
-    return lines.groupBy(*GROUP_COLUMNS, "file_path").agg(
+    out = lines.groupBy(*GROUP_COLUMNS, "file_path").agg(
         F.count(F.lit(1)).alias("lines"),
         F.count(F.when(blank, 1)).alias("blank_lines"),
         F.count(F.when(broken, 1)).alias("broken_lines"),
         F.max("file_size").alias("file_size"))
+    if files is None:
+        return out
+    zero = F.lit(0).cast("bigint")
+    empty = files.where(~F.col("odd_name") & (F.col("file_size") == 0)).select(
+        *GROUP_COLUMNS, "file_path", zero.alias("lines"), zero.alias("blank_lines"),
+        zero.alias("broken_lines"), "file_size")
+    return out.unionByName(empty)
 
 
 def merge_manifests(*parts: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import megabytes
 from tessera.model import SKILL_ORDER, UNKNOWN_RANK
+from tessera.session import checkpointed
 
 
 def rank_of(skill_col, order: Sequence[str] = SKILL_ORDER, unknown: int = UNKNOWN_RANK):
@@ -38,16 +39,17 @@ def global_position(df: DataFrame, order: Sequence[str], name: str) -> DataFrame
     """``name`` = 1-based place of each row in the total ``order`` (which
     must be unique per row), without a single-partition window.
 
-    The rows are range-partitioned on the order, numbered inside each
-    range, and shifted by the row count of the ranges before it. The
-    offsets table has one row per partition, so it is broadcast; both uses
-    of the range-partitioned rows share one exchange.
+    The rows are range-partitioned on the order and stored with the number
+    of their range, so that counting the ranges and numbering their rows
+    read the same ranges whatever the optimizer does with either. Each row
+    is numbered inside its range and shifted by the rows of the ranges
+    before it; the offsets are one row per partition.
     """
-    ranged = df.repartitionByRange(*[F.col(c) for c in order]) \
-        .withColumn("_part", F.spark_partition_id())
+    ranged = checkpointed(df.repartitionByRange(*[F.col(c) for c in order])
+                          .withColumn("_part", F.spark_partition_id()))
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    counts = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"))
     out = local.join(F.broadcast(offsets), "_part", "inner")
@@ -78,11 +80,11 @@ def fixed_order_report(manifest: DataFrame, order: Sequence[str] = SKILL_ORDER)
     a listed skill without files reports zeros, unlisted skills are left
     out. The order list is a literal, so the join's small side is bounded
     by the list itself."""
-    spark = manifest.sparkSession
-    listed = spark.range(1).select(F.posexplode(F.array(*[F.lit(s) for s in order]))) \
+    listed = manifest.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(s) for s in order]))) \
         .select(F.col("pos").alias("rank"), F.col("col").alias("skill"))
-    roll = skill_rollup(manifest)
-    out = F.broadcast(listed).join(roll, "skill", "left")
+    # only listed skills reach the join: at most one row for each
+    roll = skill_rollup(manifest.where(F.col("skill").isin(list(order))))
+    out = listed.join(F.broadcast(roll), "skill", "left")
     return out.select(
         "rank", "skill",
         F.coalesce("files", F.lit(0)).cast("bigint").alias("files"),

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import chats, corpus, streams, synthesis
+from tessera.plans import chats, corpus, curation, streams, synthesis
 from tessera.plans.oracle import oracle_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -40,6 +40,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "synth_manifest": synthesis.synth_manifest,
     "synth_walk": synthesis.synth_walk,
     "synth_walk_manifest": synthesis.synth_walk_manifest,
+    "synth_entries": synthesis.synth_entries,
+    "synth_corpus_files": synthesis.synth_corpus_files,
+    "section_audit": synthesis.section_audit,
+    "synth_failures": synthesis.synth_failures,
+    "hierarchy_lists": synthesis.hierarchy_lists,
+    # planning and curation
+    "manifest_round_trip": curation.manifest_round_trip,
+    "token_budget_plan": curation.token_budget_plan,
+    "manifest_reconcile": curation.manifest_reconcile,
+    "chat_validate": curation.chat_validate,
+    "hash_split": curation.hash_split,
+    "release_dedup": curation.release_dedup,
     # files: streams and the JSON Lines round trip
     "stream_manifest": streams.stream_manifest,
     "stream_dedup": streams.stream_dedup,

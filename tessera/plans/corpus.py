@@ -14,7 +14,7 @@ from tessera.sources.tables import table
 # Explicit group order for the documents corpus (a parameter of the
 # reports): listed languages rank 0.., others rank 99; a listed language
 # without documents reports zeros.
-LANG_ORDER = ["en", "de", "fr", "it"]
+LANG_ORDER = ["en", "de", "fr", "es", "it"]
 CAP_PER_GROUP = 5
 MIN_ENTRIES_TO_LOAD = 30
 

@@ -12,7 +12,8 @@ from __future__ import annotations
 from tessera.functions.text import template_parts
 from tessera.model import ANSWER_TEMPLATE
 from tessera.plans.corpus import CAP_PER_GROUP, LANG_ORDER, MIN_ENTRIES_TO_LOAD
-from tessera.plans.synthesis import SYNTH_TARGET, SYNTH_TEMPLATES, TOP_EXAMPLES
+from tessera.plans.curation import RELEASED_SOURCE, TOKEN_BUDGET, VALIDATION_PERCENT
+from tessera.plans.synthesis import SECTIONS, SYNTH_TEMPLATES
 
 
 def _q(s: str) -> str:
@@ -58,7 +59,7 @@ FROM conversations GROUP BY conv_id
 """
 
 _SYN_DIMS = """
-dims AS (
+RECURSIVE dims AS (
   SELECT (SELECT list(v ORDER BY v) FROM (SELECT DISTINCT c_mktsegment AS v FROM customer
           WHERE c_mktsegment IS NOT NULL)) AS aud,
          (SELECT list(v ORDER BY v) FROM (SELECT DISTINCT o_orderpriority AS v FROM orders
@@ -67,29 +68,32 @@ dims AS (
           WHERE o_orderstatus IS NOT NULL)) AS fmts
 ),
 sizes AS (SELECT aud, per, fmts, len(aud) AS na, len(per) AS np, len(fmts) AS nf FROM dims),
-sets AS (
-  SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) AS principles,
-         list_sort(list_transform(list_sort(list(DISTINCT o_orderstatus)),
-                   lambda s: 'leaving orders in status ' || s)) AS mistakes
-  FROM orders GROUP BY o_custkey
+placed AS (
+  SELECT o.*, c.c_custkey, c.c_name, c.c_mktsegment, n.n_name, __SKILL__ AS gk, __SUB__ AS gs
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  __LEFT__ JOIN orders o ON c.c_custkey = o.o_custkey
 ),
-topo AS (
-  SELECT o_custkey, o_orderkey, o_orderstatus,
-         row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn
-  FROM orders
+best AS (
+  SELECT gk, gs, o_orderpriority, o_orderkey, o_orderstatus,
+         row_number() OVER (PARTITION BY gk, gs, o_orderpriority
+                            ORDER BY o_totalprice DESC, o_orderkey) AS rn
+  FROM placed WHERE o_orderkey IS NOT NULL
 ),
 top AS (
-  SELECT o_custkey, list('order ' || CAST(o_orderkey AS VARCHAR) || ' (' || o_orderstatus || ')'
-                         ORDER BY rn) AS examples
-  FROM topo WHERE rn <= __TOP__ GROUP BY o_custkey
+  SELECT gk, gs, list('order ' || CAST(o_orderkey AS VARCHAR) || ' (' || o_orderstatus || ')'
+                      ORDER BY o_orderpriority) AS examples
+  FROM best WHERE rn = 1 GROUP BY gk, gs
+),
+sets AS (
+  SELECT gk, gs, any_value(n_name) AS skill, any_value(__SUB__) AS subtopic, any_value(__DEF__) AS def,
+         list_sort(list(DISTINCT o_orderpriority) FILTER (o_orderpriority IS NOT NULL)) AS principles,
+         list_sort(list_transform(list_sort(list(DISTINCT o_orderstatus) FILTER (o_orderstatus IS NOT NULL)),
+                   lambda s: 'leaving orders in status ' || s)) AS mistakes
+  FROM placed GROUP BY gk, gs
 ),
 grp AS (
-  SELECT n_name AS skill, c_name AS subtopic,
-         'the ' || lower(c_mktsegment) || ' account of ' || c_name || ' in ' || n_name AS def,
-         s.principles, t.examples, s.mistakes
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-  LEFT JOIN sets s ON c.c_custkey = s.o_custkey
-  LEFT JOIN top t ON c.c_custkey = t.o_custkey
+  SELECT s.skill, s.subtopic, s.def, s.principles, t.examples, s.mistakes
+  FROM sets s LEFT JOIN top t ON s.gk = t.gk AND s.gs = t.gs
 ),
 grid AS (
   SELECT g.*, i AS idx, replace(g.subtopic, '_', ' ') AS title,
@@ -107,10 +111,7 @@ firsts AS (
   SELECT *, row_number() OVER (PARTITION BY skill, subtopic, md5(prompt) ORDER BY idx) AS dup_rn
   FROM keyed
 ),
-kept AS (
-  SELECT *, row_number() OVER (PARTITION BY skill, subtopic ORDER BY idx) AS cap_rn
-  FROM firsts WHERE dup_rn = 1
-)
+kept AS (SELECT * FROM firsts WHERE dup_rn = 1)
 """
 
 
@@ -130,24 +131,67 @@ def _answer_sql() -> str:
     return sql_fill(ANSWER_TEMPLATE, vals)
 
 
-def _synth_with() -> str:
-    return ("WITH " + _SYN_DIMS.replace("__TOP__", str(TOP_EXAMPLES))
-            .replace("__NT__", str(len(SYNTH_TEMPLATES))).replace("__PROMPT__", _prompt_sql()))
+_CUSTOMERS = ("n_name", "c_name", "LEFT",
+              "('the ' || lower(c_mktsegment) || ' account of ' || c_name || ' in ' || n_name)")
+_SEGMENTS = ("n_name", "c_mktsegment", "INNER", "('the ' || lower(c_mktsegment) || ' market of ' || n_name)")
+
 
+def _synth_with(files: tuple[str, str, str, str] = _CUSTOMERS) -> str:
+    sql = "WITH " + _SYN_DIMS
+    for mark, text in zip(("__SKILL__", "__SUB__", "__LEFT__", "__DEF__"), files):
+        sql = sql.replace(mark, text)
+    return sql.replace("__NT__", str(len(SYNTH_TEMPLATES))).replace("__PROMPT__", _prompt_sql())
 
-def _synth_manifest_sql() -> str:
-    canon_bytes = ("strlen('{\"messages\": [{\"role\": \"user\", \"content\": ' || to_json(prompt)::VARCHAR"
-                   " || '}, {\"role\": \"assistant\", \"content\": ' || to_json(answer)::VARCHAR || '}]}') + 1")
-    return _synth_with() + f"""
-, ent AS (SELECT skill, subtopic, prompt, {_answer_sql()} AS answer FROM kept WHERE cap_rn <= {SYNTH_TARGET})
+
+#: The generator's loop as a recursion, once for each list of key classes: the
+#: index is kept + tried, and both grow when a key is new.
+_WALK = """
+, classes AS (
+  SELECT skill, subtopic, idx, min(idx) OVER (PARTITION BY skill, subtopic, md5(prompt)) AS c FROM keyed
+),
+lists AS (SELECT skill, subtopic, list(c ORDER BY idx) AS ks FROM classes GROUP BY skill, subtopic),
+steps AS (
+  SELECT ks, len(list_distinct(ks)) AS n, CAST(0 AS BIGINT) AS tried, CAST([] AS BIGINT[]) AS seen,
+         CAST(NULL AS BIGINT) AS took
+  FROM (SELECT DISTINCT ks FROM lists)
+  UNION ALL
+  SELECT ks, n, tried + 1,
+         CASE WHEN list_contains(seen, ks[(len(seen) + tried + 1) % len(ks) + 1]) THEN seen
+              ELSE list_append(seen, ks[(len(seen) + tried + 1) % len(ks) + 1]) END,
+         CASE WHEN list_contains(seen, ks[(len(seen) + tried + 1) % len(ks) + 1]) THEN NULL
+              ELSE len(seen) + tried + 1 END
+  FROM steps WHERE len(seen) < n AND tried < 5 * len(ks)
+),
+walked AS (
+  SELECT l.skill, l.subtopic, s.took AS idx, len(l.ks) AS period
+  FROM lists l JOIN steps s ON l.ks = s.ks WHERE s.took IS NOT NULL
+)
+"""
+
+_CANON_LINE = ("('{\"messages\": [{\"role\": \"user\", \"content\": ' || to_json(prompt)::VARCHAR"
+               " || '}, {\"role\": \"assistant\", \"content\": ' || to_json(answer)::VARCHAR || '}]}')")
+
+
+def _manifest_of(entries: str) -> str:
+    return f"""
 SELECT skill || '__' || subtopic || '.jsonl' AS file, skill, subtopic,
        CAST(count(*) AS BIGINT) AS entries,
-       CAST(sum({canon_bytes}) AS BIGINT) AS bytes,
+       CAST(sum(strlen({_CANON_LINE}) + 1) AS BIGINT) AS bytes,
        CAST(sum(length(prompt) + length(answer)) // 4 AS BIGINT) AS approx_tokens
-FROM ent GROUP BY skill, subtopic
+FROM ({entries}) GROUP BY skill, subtopic
 """
 
 
+def _kept_entries() -> str:
+    return f"SELECT skill, subtopic, idx, prompt, {_answer_sql()} AS answer FROM kept"
+
+
+def _walked_entries() -> str:
+    return f"""SELECT skill, subtopic, prompt, {_answer_sql()} AS answer FROM (
+      SELECT k.* EXCLUDE (idx), w.idx AS idx FROM walked w JOIN keyed k
+      ON k.skill = w.skill AND k.subtopic = w.subtopic AND k.idx = w.idx % w.period)"""
+
+
 def oracle_sql() -> dict[str, str]:
     rank = _rank_case("skill")
     order_values = ", ".join(f"({i}, {_q(s)})" for i, s in enumerate(LANG_ORDER))
@@ -219,10 +263,67 @@ FROM (SELECT *, CASE WHEN first_role = 'system' THEN 'with_system' ELSE 'plain'
       FROM ({_THREADS})) GROUP BY sub""",
         "synth_grid": _synth_with() + """
 SELECT skill, subtopic, CAST(idx AS BIGINT) AS idx, md5(prompt) AS prompt_md5 FROM keyed""",
-        "synth_first_wins": _synth_with() + f"""
-SELECT skill, subtopic, CAST(idx AS BIGINT) AS idx, md5(prompt) AS prompt_md5
-FROM kept WHERE cap_rn <= {SYNTH_TARGET}""",
-        "synth_manifest": _synth_manifest_sql(),
+        "synth_first_wins": _synth_with() + """
+SELECT skill, subtopic, CAST(idx AS BIGINT) AS idx, md5(prompt) AS prompt_md5 FROM kept""",
+        "synth_manifest": _synth_with() + _manifest_of(_kept_entries()),
+        "synth_walk": _synth_with() + _WALK + "SELECT skill, subtopic, CAST(idx AS BIGINT) AS idx FROM walked",
+        "synth_walk_manifest": _synth_with() + _WALK + _manifest_of(_walked_entries()),
+        "synth_entries": _synth_with(_SEGMENTS) + f"""
+SELECT skill, subtopic, CAST(idx AS BIGINT) AS idx, md5(prompt) AS prompt_md5, md5(answer) AS answer_md5,
+       md5({_CANON_LINE}) AS line_md5 FROM ({_kept_entries()})""",
+        "synth_corpus_files": _synth_with(_SEGMENTS) + _manifest_of(_kept_entries()),
+        "section_audit": _synth_with(_SEGMENTS) + f"""
+SELECT skill, subtopic, CAST(count(*) AS BIGINT) AS entries,
+  CAST(count(*) FILTER (regexp_extract_all(answer, '\\*\\*([^*]+)\\.\\*\\*', 1) = {SECTIONS}
+    AND len(list_filter(regexp_split_to_array(answer, '\\*\\*[^*]+\\.\\*\\*')[2:],
+                        lambda b: trim(b) = '')) = 0) AS BIGINT) AS complete
+FROM ({_kept_entries()}) GROUP BY skill, subtopic""",
+        "synth_failures": _synth_with() + """
+, period AS (SELECT na * np * nf * __NT__ AS p FROM sizes),
+lost AS (SELECT count(*) AS n FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+         WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey))
+SELECT r.reason, CAST(CASE r.reason WHEN 'missing_group' THEN n ELSE 0 END AS BIGINT) AS files,
+       CAST(CASE r.reason WHEN 'missing_group' THEN n * p ELSE 0 END AS BIGINT) AS entries
+FROM lost, period, (VALUES ('missing_group'), ('definition'), ('template')) r(reason)"""
+        .replace("__NT__", str(len(SYNTH_TEMPLATES))),
+        "hierarchy_lists": """
+SELECT r_name AS skill, r_regionkey AS skill_rank, CAST(count(*) AS BIGINT) AS files,
+       string_agg(n_name, ', ' ORDER BY n_nationkey DESC) AS subtopics
+FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name, r_regionkey""",
+        "manifest_round_trip": _M,
+        "token_budget_plan": f"""
+SELECT file, approx_tokens, CAST(r AS BIGINT) AS running_tokens, entries AS loaded FROM (
+  SELECT *, sum(approx_tokens) OVER (ORDER BY approx_tokens DESC, file ROWS UNBOUNDED PRECEDING) AS r
+  FROM {_M}) WHERE r <= {TOKEN_BUDGET}""",
+        "manifest_reconcile": f"""
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS rn FROM documents),
+b AS (SELECT lang AS skill, source AS subtopic, count(*) AS entries, sum(strlen(text)) AS bytes,
+             sum(length(text)) // 4 AS approx_tokens FROM d WHERE rn = 1 GROUP BY lang, source)
+SELECT coalesce(a.skill, b.skill) AS skill, coalesce(a.subtopic, b.subtopic) AS subtopic,
+  CASE WHEN b.entries IS NULL THEN 'missing' WHEN a.entries IS NULL THEN 'extra'
+       WHEN a.entries = b.entries AND a.bytes = b.bytes AND a.approx_tokens = b.approx_tokens THEN 'same'
+       ELSE 'changed' END AS status,
+  a.entries AS stored_entries, a.bytes AS stored_bytes, a.approx_tokens AS stored_approx_tokens,
+  CAST(b.entries AS BIGINT) AS computed_entries, CAST(b.bytes AS BIGINT) AS computed_bytes,
+  CAST(b.approx_tokens AS BIGINT) AS computed_approx_tokens
+FROM {_M} a FULL JOIN b ON a.skill = b.skill AND a.subtopic = b.subtopic""",
+        "chat_validate": """
+WITH t AS (SELECT conv_id, list(role ORDER BY turn) AS roles,
+             bool_and(coalesce(trim(text), '') <> '') AS no_empty FROM conversations GROUP BY conv_id),
+s AS (SELECT *, CASE WHEN roles[1] = 'system' THEN roles[2:] ELSE roles END AS talk FROM t),
+r AS (SELECT conv_id, len(list_filter(roles, lambda x: x NOT IN ('system', 'user', 'assistant'))) = 0 AS known_roles,
+  coalesce(talk[1] = 'user', false) AS starts_user,
+  len(list_filter(range(1, len(talk) + 1), lambda i: talk[i] <> CASE WHEN i % 2 = 1 THEN 'user' ELSE 'assistant' END))
+    = 0 AS alternates,
+  roles[-1] = 'assistant' AS ends_assistant, no_empty FROM s)
+SELECT *, known_roles AND starts_user AND alternates AND ends_assistant AND no_empty AS valid FROM r""",
+        "hash_split": f"""
+SELECT doc_id, b AS bucket, CASE WHEN b < {VALIDATION_PERCENT} THEN 'validation' ELSE 'train' END AS split
+FROM (SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 6) AS BIGINT) % 100 AS b
+      FROM documents)""",
+        "release_dedup": f"""
+SELECT doc_id, source, md5(text) AS text_md5 FROM documents WHERE source <> '{RELEASED_SOURCE}'
+AND md5(text) NOT IN (SELECT md5(text) FROM documents WHERE source = '{RELEASED_SOURCE}')""",
     }
     # The streaming manifest must equal the batch manifest.
     q["stream_manifest"] = q["corpus_manifest"]

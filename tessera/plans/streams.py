@@ -1,15 +1,13 @@
-"""Queries that write and read files: the streaming manifest and dedup over
-documents arriving as files, and the JSON Lines round trip of the chat
-corpus (sink, scan, physical-size manifest).
+"""Queries that stream the documents table or write and read files: the
+streaming manifest and dedup, and the JSON Lines round trip of the chat corpus
+(sink, scan, physical-size manifest).
 
-Staged inputs and sinks live under the shared checkpoint folder of the
-session (``spark.checkpoint.dir``), never in a machine-local folder.
+Streams read the table's own files; their state and sinks, and written
+corpora, live under the shared checkpoint folder of the session.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,54 +16,34 @@ from tessera.operators.manifest import MANIFEST_COLUMNS, file_manifest
 from tessera.plans.chats import grouped_threads
 from tessera.session import scratch_path
 from tessera.sinks.jsonl import write_corpus
-from tessera.sources.jsonl import scan_chat
+from tessera.sources.jsonl import list_files, scan_chat
 from tessera.sources.tables import table
-from tessera.streaming import (parquet_stream, read_snapshot, read_survivors, run_dedup_stream,
-                               run_manifest_stream)
-
-STAGE_BATCHES = 4
-STREAM_TIMEOUT_S = 900
-
+from tessera.streaming import (read_snapshot, read_survivors, run_dedup_stream, run_manifest_stream,
+                               table_stream)
 
-def _stage_documents(spark: SparkSession, root: str) -> tuple[str, int]:
-    """Land the documents table as files, as if they arrived in
-    ``STAGE_BATCHES`` waves; returns the folder and the files per
-    micro-batch.
 
-    No shuffle: every scan task writes its own files, and a record limit
-    per file (a quarter of the rows) makes even a small table arrive as
-    several files; the file count grows with the table, and the files per
-    micro-batch with it.
-    """
-    stage = scratch_path(spark, "arrivals")
-    docs = table(spark, root, "documents", "doc_id", "lang", "source", "text")
-    rows = docs.count()
-    per_file = max(1, math.ceil(rows / STAGE_BATCHES))
-    docs.write.mode("overwrite").option("maxRecordsPerFile", per_file).parquet(stage)
-    n_files = len(spark.read.parquet(stage).inputFiles())
-    return stage, max(1, math.ceil(n_files / STAGE_BATCHES))
+def _documents(spark: SparkSession, root: str) -> DataFrame:
+    """The documents table as a stream of its files. With ``availableNow`` all
+    files of the moment are read, in as many batches as their sizes ask for."""
+    schema = table(spark, root, "documents", "doc_id", "lang", "source", "text").schema
+    return table_stream(spark, root, "documents", schema)
 
 
 def stream_manifest(spark: SparkSession, root: str) -> DataFrame:
-    stage, per_batch = _stage_documents(spark, root)
-    schema = spark.read.parquet(stage).schema
-    src = parquet_stream(spark, stage, schema, files_per_batch=per_batch)
     snap = scratch_path(spark, "manifest-snapshot")
-    run_manifest_stream(spark, src, ("lang", "source"), F.length("text"), F.octet_length("text"),
-                        snap, scratch_path(spark, "manifest-ckpt"), STREAM_TIMEOUT_S)
+    run_manifest_stream(spark, _documents(spark, root), ("lang", "source"), F.length("text"),
+                        F.octet_length("text"), snap, scratch_path(spark, "manifest-ckpt"))
     return read_snapshot(spark, snap, ("lang", "source"))
 
 
 def stream_dedup(spark: SparkSession, root: str) -> DataFrame:
     """Keys that survive the streaming first-seen dedup; which row survives
     depends on arrival order, so only keys are reported."""
-    stage, per_batch = _stage_documents(spark, root)
-    schema = spark.read.parquet(stage).schema
-    src = parquet_stream(spark, stage, schema, files_per_batch=per_batch)
-    keyed = src.select("doc_id", "lang", "source", content_hash(F.col("text")).alias("text_md5"))
+    keyed = _documents(spark, root).select("doc_id", "lang", "source",
+                                           content_hash(F.col("text")).alias("text_md5"))
     sink = scratch_path(spark, "dedup-sink")
     run_dedup_stream(spark, keyed, ["lang", "source", "text_md5"], sink,
-                     scratch_path(spark, "dedup-ckpt"), timeout_s=STREAM_TIMEOUT_S)
+                     scratch_path(spark, "dedup-ckpt"))
     return read_survivors(spark, sink).select("lang", "source", "text_md5")
 
 
@@ -76,4 +54,4 @@ def jsonl_file_manifest(spark: SparkSession, root: str) -> DataFrame:
     out = scratch_path(spark, "chat-corpus")
     write_corpus(grouped_threads(spark, root).select("skill", "subtopic", "messages"), out)
     scanned = scan_chat(spark, out, layout="hive")
-    return file_manifest(scanned).select(*MANIFEST_COLUMNS)
+    return file_manifest(scanned, list_files(spark, out, layout="hive")).select(*MANIFEST_COLUMNS)

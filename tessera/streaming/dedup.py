@@ -15,10 +15,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.session import use_rocksdb
+
 
 def run_dedup_stream(spark: SparkSession, keyed: DataFrame, keys: Sequence[str], sink_path: str,
                      checkpoint: str, event_time: str | None = None,
-                     delay: str = "1 hour", timeout_s: float | None = None) -> None:
+                     delay: str = "1 hour") -> None:
     if event_time:
         stream = keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
     else:
@@ -27,12 +29,10 @@ def run_dedup_stream(spark: SparkSession, keyed: DataFrame, keys: Sequence[str],
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
 
+    use_rocksdb(spark)
     q = (stream.writeStream.outputMode("append").foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("dedup stream did not finish")
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 

@@ -6,6 +6,7 @@ from tessera.functions import (approx_tokens, canonical_line, canonical_line_byt
                                content_chars, decode, decode_file_name, file_name, fill,
                                humanise, megabytes, nest, rotated_pick, substitute)
 from tessera.functions.chat import json_escape_text, json_escaped
+from tessera.functions.radix import decode
 
 EDGE = ['say "hi"', "back\\slash", "line\nbreak", "tab\there", "em — dash", "emoji 😀",
         'holds ": " inside', "{topic} stays", "", "ctrl \x01 \x1f"]
@@ -94,3 +95,9 @@ def test_thread_measures_equal_assembled_lines(spark):
         assert g["line_bytes"] == len(line.encode("utf-8")) + 1
         assert g["chars"] == sum(len(m["content"]) for m in msgs)
         assert g["first_role"] == msgs[0]["role"]
+
+
+def test_decode_is_exact_beyond_doubles(spark):
+    big = 2 ** 60 + 33
+    digits = spark.range(1).select(*decode(F.lit(big), [10, 7, 100])).first()
+    assert tuple(digits) == (big % 10, big // 10 % 7, big // 70 % 100)

@@ -1,6 +1,7 @@
 import json
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,44 +22,43 @@ DEFS = [("s1", "first_topic", "d \"one\"", ["p1", "p2"], ["e1", "e2", "e3", "e4"
         ("s2", "third\ntopic", "d three", ["r1"], ["z1", "z2"], ["w1"])]
 
 
-def reference_walk(keys, target, attempts):
-    """Brute-force model of the generator's loop: index = count + attempts."""
-    seen, kept, count, tries = set(), [], 0, 0
-    while count < target and tries < attempts:
-        tries += 1
-        i = count + tries
-        k = keys(i)
-        if k is None or k in seen:
-            continue
-        seen.add(k)
-        kept.append(i)
-        count += 1
-    return kept
-
-
-def test_walk_matches_brute_force():
-    rng = random.Random(7)
-    for _ in range(200):
-        n = rng.randint(1, 60)
-        raw = [rng.choice([None, *range(rng.randint(1, 20))]) for _ in range(n)]
-        target, attempts = rng.randint(1, 30), rng.randint(1, 80)
-        keys = [raw[i % n] for i in range(target + attempts + 1)]
-        want = reference_walk(lambda i: keys[i], target, attempts)
-        assert dedup._walk(keys, target, attempts) == want
-        assert dedup._walk(raw, target, attempts, period=n) == want
-
-
-@pytest.mark.parametrize("batch", [10000, 7])
+def walked_by_sql(keys, target, attempts):
+    """The loop as a recursion in SQL: kept and tried grow together."""
+    rows = duckdb.execute("""
+WITH RECURSIVE steps AS (
+  SELECT CAST(0 AS BIGINT) AS tried, CAST([] AS VARCHAR[]) AS seen, CAST(NULL AS BIGINT) AS took
+  UNION ALL
+  SELECT tried + 1, CASE WHEN fresh THEN list_append(seen, k) ELSE seen END, CASE WHEN fresh THEN i END
+  FROM (SELECT *, k IS NOT NULL AND NOT list_contains(seen, k) AS fresh FROM (
+    SELECT *, len(seen) + tried + 1 AS i, ($keys)[len(seen) + tried + 2] AS k FROM steps
+    WHERE len(seen) < $target AND tried < $attempts)))
+SELECT took FROM steps WHERE took IS NOT NULL ORDER BY took""",
+                          {"keys": keys, "target": target, "attempts": attempts}).fetchall()
+    return [r[0] for r in rows]
+
+
+def test_walk_by_hand():
+    walk = dedup._walk
+    assert walk(list("abcdefgh"), 10, 10) == [1, 3, 5, 7]      # every other index
+    assert walk(list("abbcdefg"), 10, 10) == [1, 3, 5, 7]      # a repeat at a skipped index
+    assert walk(["a", "x", "b", "x", "c", "d", "e"], 10, 10) == [1, 4, 6]  # the repeat at 3 moves by one
+    assert walk([None, None, "a", None, "b"], 10, 10) == [2, 4]            # failed rows move by one
+    assert walk(list("abcdefgh"), 2, 10) == [1, 3] and walk(list("abcdefgh"), 9, 3) == [1, 3, 5]
+    assert walk(list("ab"), 9, 9, period=2) == [1, 4]          # b, (skip), b again at 3, a at 4
+
+
+@pytest.mark.parametrize("batch", [10000, 2])
 def test_visit_plan_in_spark(spark, batch):
-    """Small Arrow batches split groups across batches (and a null group
-    value is a group of its own)."""
+    """Against the recursion; many files of few patterns, and a null group
+    value is a group of its own."""
     rng = random.Random(3)
     rows, want = [], {}
+    shapes = [[rng.choice([None, "k1", "k2", "k3", "u", "k4"]) for _ in range(41)] for _ in range(5)]
     for g in [*range(12), None]:
         name = None if g is None else f"g{g}"
-        keys = [rng.choice([None, "k1", "k2", "k3", f"u{g}", "k4"]) for _ in range(41)]
-        rows += [(name, "s", i, k) for i, k in enumerate(keys)]
-        want[name] = reference_walk(lambda i: keys[i], 10, 30)
+        keys = shapes[(g or 0) % 5]
+        rows += [(name, "s", i, k and f"{k}-{g}") for i, k in enumerate(keys)]
+        want[name] = walked_by_sql(keys, 10, 30)
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "skill string, subtopic string, idx long, key string")
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
@@ -101,16 +101,34 @@ def test_generated_entries(spark):
         assert r["answer"].split("|")[4] == ["e1", "e2", "e3", "e4"][r["idx"] % 4]
 
 
-def test_large_grid_is_decoded_in_place(spark, monkeypatch):
-    """Beyond the broadcast bound the dimensions are decoded from idx (no
-    grid table); the entries are the same."""
+def test_dimensions_from_tables_equal_listed_ones(spark):
     groups = spark.createDataFrame(DEFS, DEFINITION)
     cols = ["skill", "subtopic", "idx", "prompt", "answer", "line", "chars", "line_bytes"]
     want = sorted(synth.generate(groups, GRID, target=100, attempts=500).select(*cols).collect())
-    monkeypatch.setattr(synth, "GRID_BROADCAST_ROWS", 0)
-    plan = synth.generate(groups, GRID, target=100, attempts=500)
-    assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
-    assert sorted(plan.select(*cols).collect()) == want
+    table = spark.createDataFrame([("a1", "p1", "f0"), ("a0", "p0", "f1"), ("a2", None, "f1")],
+                                  "a string, p string, f string")
+    tables = synth.Grid(synth.resolve_dim(table, "a"), synth.resolve_dim(table, "p"),
+                        synth.resolve_dim(table, "f"), GRID.templates, GRID.answer_template)
+    assert tables.period == GRID.period
+    assert sorted(synth.generate(groups, tables, target=100, attempts=500).select(*cols).collect()) == want
+
+
+def test_a_dimension_of_two_thousand_values(spark):
+    dim = synth.resolve_dim(spark.range(2000).selectExpr("concat('v', lpad(id, 4, '0')) v"), "v")
+    assert dim.size == 2000
+    grid = synth.Grid(dim, ["p"], ["f"], ["{topic} {audience}"], GRID.answer_template)
+    got = synth.keyed_prompts(spark.createDataFrame(DEFS[:1], DEFINITION), grid, 0, grid.period - 1)
+    assert {(r["idx"], r["prompt"]) for r in got.collect()} == \
+        {(i, f"first topic v{i:04d}") for i in range(2000)}
+
+
+def test_failures_are_counted_by_reason(spark):
+    bad = [("s3", "no_examples", "d", ["p"], [], ["m"]), ("s3", "no_def", None, ["p"], ["e"], ["m"])]
+    groups = spark.createDataFrame(bad + DEFS[:1], DEFINITION)
+    wanted = spark.createDataFrame([(r[0], r[1]) for r in bad + DEFS], "skill string, subtopic string")
+    grid = synth.Grid(["a", "b"], ["p"], ["f"], ["{topic} {nope}", "{topic} ok"], GRID.answer_template)
+    got = {r["reason"]: (r["files"], r["entries"]) for r in synth.failures(groups, wanted, grid).collect()}
+    assert got == {"missing_group": (2, 8), "definition": (2, 8), "template": (1, 2)}
 
 
 def test_generation_failures_are_dropped(spark):
@@ -137,19 +155,28 @@ def test_first_wins_and_cap(spark):
     assert corpus == {"h1": "early", "h2": "x"}
     capped = dedup.cap(df, 2, "idx", ["grp"]).collect()
     assert sorted((r["grp"], r["idx"]) for r in capped) == [("g", 1), ("g", 2), ("k", 5)]
+    many = spark.range(5000).selectExpr("id % 3 grp", "5000 - id idx")
+    got = dedup.cap(many, 1200, "idx", ["grp"])
+    assert sorted((r["grp"], r["idx"]) for r in got.collect()) == sorted(
+        (g, i) for g in range(3) for i in sorted(5000 - x for x in range(g, 5000, 3))[:1200])
 
 
-@pytest.mark.skipif(not golden.available(), reason="golden inputs not configured")
-def test_golden_manifest(spark):
-    """The generator reproduces the published manifest exactly (entries,
-    bytes, approx_tokens), here on three files incl. a four-example one."""
+def _check_golden(spark, names):
     want = {r["file"]: r for r in golden.manifest_rows()}
-    pick = {"coding__refactoring.jsonl", "thinking__abstraction.jsonl",
-            "understanding__inferential_comprehension.jsonl"}
-    rows = [r for r in golden.definition_rows() if f"{r[0]}__{r[1]}.jsonl" in pick]
+    rows = [r for r in golden.definition_rows() if not names or f"{r[0]}__{r[1]}.jsonl" in names]
     got = measured_manifest(synth.generate(spark.createDataFrame(rows, DEFINITION))).collect()
-    assert len(got) == 3
+    assert len(got) == (len(names) if names else len(want))
     for r in got:
         w = want[r["file"]]
         assert (r["entries"], r["bytes"], r["approx_tokens"]) == \
             (w["entries"], w["bytes"], w["approx_tokens"])
+
+
+@pytest.mark.skipif(not golden.available(), reason="golden inputs not configured")
+@pytest.mark.parametrize("names", [{"coding__refactoring.jsonl", "thinking__abstraction.jsonl",
+                                    "understanding__inferential_comprehension.jsonl"}, None],
+                         ids=["three", "all"])
+def test_golden_manifest(spark, names):
+    """The generator reproduces the published manifest exactly (entries,
+    bytes, approx_tokens): three files incl. a four-example one, then all."""
+    _check_golden(spark, names)

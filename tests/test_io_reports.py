@@ -1,13 +1,19 @@
 import json
 import os
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from conftest import SF001
+
 from tessera.functions import nest
 from tessera.operators import report, subset
-from tessera.operators.manifest import chat_manifest, file_manifest, line_audit, merge_manifests
+from tessera.operators.manifest import (chat_manifest, file_manifest, line_audit, merge_manifests,
+                                        odd_files)
 from tessera.sinks import write_corpus, write_manifest
 from tessera.sources import scan_chat, scan_chat_lines, scan_manifest
+from tessera.sources.jsonl import list_files
 
 
 def _entries(spark):
@@ -83,23 +89,94 @@ def test_subset_by_manifest(spark):
     assert {r["skill"] for r in subset.by_manifest(ent, chosen).collect()} == {"thinking"}
 
 
-def test_global_position_over_many_ranges(spark):
-    import random
-    rng = random.Random(5)
-    rows = [(rng.randint(0, 5), f"sub{rng.randint(0, 10**6):07d}", f"s{i}") for i in range(3000)]
-    df = spark.createDataFrame(rows, "rank int, subtopic string, skill string").repartition(7)
-    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_global_position_of_wide_rows(spark, adaptive):
+    """300,000 rows with a wide column over many ranges: none lost, each with
+    the place that row_number() gives."""
+    df = spark.range(300_000).selectExpr(
+        "int(id % 6) rank", "concat('sub', xxhash64(id)) subtopic", "concat('s', id) skill",
+        "repeat(cast(id as string), 40) wide").repartition(7)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
         out = report.global_position(df, ["rank", "subtopic", "skill"], "position")
-        ranges = df.repartitionByRange("rank", "subtopic", "skill") \
-            .select(F.spark_partition_id().alias("p")).distinct().count()
-        assert ranges > 1
-        got = {(r["rank"], r["subtopic"], r["skill"]): r["position"] for r in out.collect()}
+        nth = F.row_number().over(Window.orderBy("rank", "subtopic", "skill"))
+        got = out.withColumn("nth", nth).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("nth") != F.col("position")).alias("wrong")).first()
+        assert (got["n"], got["wrong"]) == (300_000, 0)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
-    want = {k: i + 1 for i, k in enumerate(sorted(got))}
-    assert got == want and len(got) == len(rows)
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_listing_counts_empty_and_odd_files(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "flat")
+    os.makedirs(d)
+    line = json.dumps({"messages": [{"role": "user", "content": "u"}, {"role": "assistant", "content": "abcdefgh"}]})
+    for name, text in (("thinking__x_y.jsonl", line + "\n"), ("thinking__empty.jsonl", ""),
+                       ("noseparator.jsonl", line + "\n"), ("index.jsonl", "{}\n")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    files = list_files(spark, d)
+    got = {r["file"]: (r["entries"], r["bytes"], r["approx_tokens"])
+           for r in file_manifest(scan_chat(spark, d), files).collect()}
+    assert got == {"thinking__x_y.jsonl": (1, len(line) + 1, 2), "thinking__empty.jsonl": (0, 0, 0)}
+    assert tuple(odd_files(files).first()) == (3, 1, 1)
+    audit = {r["subtopic"]: r["lines"] for r in line_audit(scan_chat_lines(spark, d), files).collect()}
+    assert audit == {"x_y": 1, "empty": 0}
+
+
+def test_streams_over_several_batches_equal_one(spark, tmp_dir, monkeypatch):
+    from tessera.streaming import manifest as M
+    from tessera.streaming import parquet_stream, read_snapshot, read_survivors, run_dedup_stream
+    monkeypatch.setattr(M, "COMPACT_EVERY", 2)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "lang", "source", "text")
+    folder, snap = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "snap")
+    docs.repartition(5).write.parquet(folder)
+    M.run_manifest_stream(spark, parquet_stream(spark, folder, docs.schema), ("lang", "source"),
+                          F.length("text"), F.octet_length("text"), snap, os.path.join(tmp_dir, "c1"))
+    assert len([x for x in os.listdir(snap) if x.startswith("batch=")]) >= 5
+    assert len(os.listdir(snap + "-compact")) >= 2
+    one = docs.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("entries"), F.sum(F.length("text")).alias("c"))
+    assert {(r["skill"], r["subtopic"], r["entries"], r["approx_tokens"])
+            for r in read_snapshot(spark, snap, ("lang", "source")).collect()} == \
+        {(r["lang"], r["source"], r["entries"], r["c"] // 4) for r in one.collect()}
+    keyed = parquet_stream(spark, folder, docs.schema).select("lang", F.md5("text").alias("k"))
+    run_dedup_stream(spark, keyed, ["lang", "k"], os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "c2"))
+    got = [(r["lang"], r["k"]) for r in read_survivors(spark, os.path.join(tmp_dir, "out")).collect()]
+    want = {(r["lang"], r["k"]) for r in docs.select("lang", F.md5("text").alias("k")).collect()}
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_running_total_and_budget(spark):
+    from tessera.operators import curate
+    rows = [(f"f{i}", (i * 37) % 50) for i in range(500)]
+    df = spark.createDataFrame(rows, "file string, approx_tokens long").repartition(6)
+    got = [tuple(r) for r in curate.token_budget(df, 4000).orderBy("running_tokens", "file")
+           .select("file", "approx_tokens", "running_tokens").collect()]
+    total, want = 0, []
+    for f, t in sorted(rows, key=lambda r: (-r[1], r[0])):
+        total += t
+        if total <= 4000:
+            want.append((f, t, total))
+    assert sorted(got) == sorted(want)
+
+
+def test_chat_rules(spark):
+    from tessera.operators import curate
+    cases = [(["system", "user", "assistant"], True), (["user", "assistant"], True), (["assistant", "user"], False),
+             (["user", "user", "assistant"], False), (["user"], False), ([], False), (["system"], False),
+             (["user", "bot"], False)]
+    df = spark.createDataFrame([(i, [(r, "x") for r in roles]) for i, (roles, _) in enumerate(cases)]
+                               + [(99, [("user", " "), ("assistant", None)])],
+                               "i int, messages array<struct<role:string,content:string>>")
+    rules = curate.chat_rules(F.col("messages"))
+    valid = F.lit(True)
+    for r in rules.values():
+        valid = valid & r
+    got = {r["i"]: r["v"] for r in df.select("i", valid.alias("v")).collect()}
+    assert got == {**{i: v for i, (_, v) in enumerate(cases)}, 99: False}
 
 
 def test_incremental_manifest_reads_latest_change(spark, tmp_dir):
