@@ -64,12 +64,14 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the shards, reads them back and digests what stands in them."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = shard.read_slots(spark, shard.write_shards(docs), docs.schema)
-    return rows.select("doc_id", shard.size_of(F.col("text")).alias("size"),
+    rows = shard.read_shards(spark, shard.write_shards(docs), docs.schema)
+    rows = rows.select("doc_id", shard.size_of(F.col("text")).alias("size"),
                        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
-                       F.lit("key").alias("law"), F.col("_shard").alias("shard"),
-                       F.col("_slot").alias("slot"),
-                       shard.shard_of(F.col("doc_id"), shard.SHARDS + 1).alias("grown_shard"))
+                       "_shard", "_bucket", "_place")
+    return shard.with_slots(rows).select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("_shard").alias("shard"),
+        F.col("_slot").alias("slot"),
+        shard.shard_of(F.col("doc_id"), shard.SHARDS + 1).alias("grown_shard"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

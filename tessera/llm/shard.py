@@ -21,11 +21,13 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tessera.llm.util import shared_root
+from tessera.llm.util import cut, shared_root
 
 SHARDS, SEED = 16, 42
 #: Text bytes of a bucket, on average: what one task shuffles in memory.
 BUCKET_BYTES = 16 << 20
+#: Buckets up to which their offsets are broadcast.
+BROADCAST_BUCKETS = 200_000
 
 
 def size_of(text: Column) -> Column:
@@ -75,21 +77,29 @@ def write_shards(docs: DataFrame, path: str | None = None, shards: int = SHARDS,
         out = bucket.take(pa.array(places)).select(names)
         return out.append_column("_place", pa.array(np.arange(bucket.num_rows), pa.int64()))
 
+    rows = rows.repartition(shards * buckets, "_shard", "_bucket")  # as many tasks as buckets
     rows.groupBy("_shard", "_bucket").applyInArrow(shuffled, schema) \
         .write.partitionBy("_shard").parquet(path)
     return path
 
 
-def read_slots(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The written records of ``docs`` with the given schema, and their
-    ``_shard`` and ``_slot`` (gapless from 0 in each shard). The offsets of the
-    buckets are one row for each bucket."""
-    full = StructType([*schema.fields, StructField("_bucket", IntegerType()),
-                       StructField("_place", LongType()), StructField("_shard", IntegerType())])
-    rows = spark.read.schema(full).parquet(path)
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The written records, with the columns of ``schema`` (those of the
+    documents), ``_shard``, ``_bucket`` and ``_place``."""
+    return spark.read.schema(StructType([
+        *schema.fields, StructField("_bucket", IntegerType()), StructField("_place", LongType()),
+        StructField("_shard", IntegerType())])).parquet(path)
+
+
+def with_slots(rows: DataFrame) -> DataFrame:
+    """Written records with ``_slot``, gapless from 0 in each shard, in place
+    of ``_bucket`` and ``_place``. The offsets are one row for each bucket,
+    broadcast up to a bound; select what is needed before, since beyond the
+    bound the rows are shuffled."""
     sizes = rows.groupBy("_shard", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_shard").orderBy("_bucket")) - F.col("_n")
-    offsets = sizes.select("_shard", "_bucket", before.alias("_before"))
+    offsets = cut(sizes.select("_shard", "_bucket", before.alias("_before")))
+    offsets = F.broadcast(offsets) if offsets.count() <= BROADCAST_BUCKETS else offsets
     return rows.join(offsets, ["_shard", "_bucket"]) \
         .withColumn("_slot", (F.col("_before") + F.col("_place")).cast("bigint")) \
         .drop("_bucket", "_place", "_before")

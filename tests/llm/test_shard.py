@@ -8,7 +8,7 @@ from tessera.llm.queries import op9_shards
 
 def slots(docs, **options):
     spark = docs.sparkSession
-    return shard.read_slots(spark, shard.write_shards(docs, **options), docs.schema)
+    return shard.with_slots(shard.read_shards(spark, shard.write_shards(docs, **options), docs.schema))
 
 
 def test_slots_are_gapless_and_texts_whole(spark):
