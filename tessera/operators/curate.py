@@ -38,7 +38,8 @@ def token_budget(manifest: DataFrame, budget: int) -> DataFrame:
 
 def reconcile(stored: DataFrame, computed: DataFrame) -> DataFrame:
     """Each group of either manifest with ``status``: ``same``, ``changed``,
-    ``missing`` (stored only) or ``extra`` (computed only)."""
+    ``missing`` (stored only) or ``extra`` (computed only); the measures of the
+    side that lacks the group are zero."""
     measures = ("entries", "bytes", "approx_tokens")
     a, b = stored.alias("a"), computed.alias("b")
     both = a.join(b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in GROUP_COLUMNS], "full")
@@ -49,8 +50,8 @@ def reconcile(stored: DataFrame, computed: DataFrame) -> DataFrame:
         .when(equal, "same").otherwise("changed")
     return both.select(*[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in GROUP_COLUMNS],
                        status.alias("status"),
-                       *[F.col(f"a.{m}").alias(f"stored_{m}") for m in measures],
-                       *[F.col(f"b.{m}").alias(f"computed_{m}") for m in measures])
+                       *[F.coalesce(f"a.{m}", F.lit(0)).cast("bigint").alias(f"stored_{m}") for m in measures],
+                       *[F.coalesce(f"b.{m}", F.lit(0)).cast("bigint").alias(f"computed_{m}") for m in measures])
 
 
 def chat_rules(messages: Column) -> dict[str, Column]:

@@ -303,9 +303,11 @@ SELECT coalesce(a.skill, b.skill) AS skill, coalesce(a.subtopic, b.subtopic) AS
   CASE WHEN b.entries IS NULL THEN 'missing' WHEN a.entries IS NULL THEN 'extra'
        WHEN a.entries = b.entries AND a.bytes = b.bytes AND a.approx_tokens = b.approx_tokens THEN 'same'
        ELSE 'changed' END AS status,
-  a.entries AS stored_entries, a.bytes AS stored_bytes, a.approx_tokens AS stored_approx_tokens,
-  CAST(b.entries AS BIGINT) AS computed_entries, CAST(b.bytes AS BIGINT) AS computed_bytes,
-  CAST(b.approx_tokens AS BIGINT) AS computed_approx_tokens
+  CAST(coalesce(a.entries, 0) AS BIGINT) AS stored_entries, CAST(coalesce(a.bytes, 0) AS BIGINT) AS stored_bytes,
+  CAST(coalesce(a.approx_tokens, 0) AS BIGINT) AS stored_approx_tokens,
+  CAST(coalesce(b.entries, 0) AS BIGINT) AS computed_entries,
+  CAST(coalesce(b.bytes, 0) AS BIGINT) AS computed_bytes,
+  CAST(coalesce(b.approx_tokens, 0) AS BIGINT) AS computed_approx_tokens
 FROM {_M} a FULL JOIN b ON a.skill = b.skill AND a.subtopic = b.subtopic""",
         "chat_validate": """
 WITH t AS (SELECT conv_id, list(role ORDER BY turn) AS roles,
