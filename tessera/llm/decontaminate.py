@@ -35,7 +35,7 @@ SIMILARITY = 0.8
 WINDOWS = ((32, 8), (16, 8), (8, 4), (4, 1), (2, 1), (1, 1))
 #: Repetitions and sampled positions; of windows with a tenth of the words
 #: changed a single repetition finds about half.
-REPEATS, SAMPLED = 10, 5
+REPEATS, SAMPLED = 16, 5
 SEED = 20240501
 CHUNK_WORDS = 300_000
 WORD = re.compile(r"[^\W_]+")
