@@ -33,9 +33,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("a < b").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
-                 .first())
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether every node hangs on one root and no root hangs on anything."""
+    nodes = edges.select(F.col("a").alias("n"), F.lit(1).alias("root"), F.lit(0).alias("hung")) \
+        .unionByName(edges.select(F.col("b").alias("n"), F.lit(0).alias("root"), F.lit(1).alias("hung")))
+    nodes = nodes.groupBy("n").agg(F.max("root").alias("root"), F.sum("hung").alias("hung"))
+    return not nodes.where("hung > 1 or root = 1 and hung > 0").take(1)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,18 +46,13 @@ def components(edges: DataFrame) -> DataFrame:
     ``root`` is the smallest node of the component. Any ordered type works.
 
     Nulls and self-loops are ignored, repeated edges collapse, no edges give
-    an empty result. The loop ends at the first round that changes nothing;
-    the number of rounds is logarithmic in the size of a component.
+    an empty result. The loop ends when the edges are stars; the number of
+    rounds is logarithmic in the size of a component.
     """
     e = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) \
         .where("a < b").distinct()
     e = cut(e)
-    state = _state(e)
-    while state[0]:
+    while not _is_forest(e):
         e = cut(_star(_star(e, True), False))
-        now = _state(e)
-        if now == state:
-            break
-        state = now
     return e.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
         e.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct()

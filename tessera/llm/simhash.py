@@ -152,7 +152,8 @@ def linked(fps: DataFrame) -> DataFrame:
                     & (F.col("x.root") < F.col("y.root"))
                     & _within(F.col("x.fp"), F.col("y.fp"), F.col("x.key"))) \
         .select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct()
-    return components(stars.unionByName(across))
+    across = cut(across)
+    return components(stars.unionByName(across)) if across.take(1) else first
 
 
 def components_of(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
