@@ -149,11 +149,15 @@ def blanks(c: Column) -> Column:
 def gated(text: Column) -> Column:
     """Whether a rule's keyword may stand in the text. Each rule needs its
     keyword and each base phrase is a rule, so the test loses nothing."""
-    lower = F.lower(F.coalesce(text, F.lit("")))
-    test = F.lit(False)
-    for word in sorted({r[2] for r in rules()}):
-        test = test | F.contains(lower, F.lit(word))
-    return test
+    def holds(lower: Column) -> Column:
+        test = F.lit(False)
+        for word in sorted({r[2] for r in rules()}):
+            test = test | F.contains(lower, F.lit(word))
+        return test
+
+    # a one-element transform: the text is lower-cased once for all tests,
+    # also where a filter is pushed down
+    return F.get(F.transform(F.array(F.lower(F.coalesce(text, F.lit("")))), holds), 0)
 
 
 def _base(norm: Column, n_words: Column) -> dict[str, Column]:
@@ -209,12 +213,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     result; other columns are not read.
     """
     text = F.col("text")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("row"),
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = source.select("doc_id", F.xxhash64("text").alias("row"),
                        F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
                        .alias("n_words"),
                        F.when(gated(text), normal(text)).otherwise(F.lit("  ")).alias("norm"))
-    found = detections(rows.where("norm <> '  '").select("doc_id", "row", "norm"))
+    found = detections(source.where(gated(text)).select(
+        "doc_id", F.xxhash64("text").alias("row"), normal(text).alias("norm")))
     found = found.groupBy("doc_id", "row").agg(F.collect_set("label").alias("_labels"),
                                                F.max("weight").alias("_weight"))
     base = _base(F.col("norm"), F.col("n_words"))
