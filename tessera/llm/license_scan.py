@@ -3,7 +3,7 @@
 A text is read as its words (A-Z lower-cased), joined by single blanks, so
 signatures need not care for punctuation and line breaks. Cheap substring
 tests keep most texts from the rules: a text must hold a gate word, and a rule
-is tried only where its keyword stands. What the rules find are intervals of
+is tried only where its keyword stands in a word. What the rules find are intervals of
 words; of overlapping finds, one that lies inside another goes (the longer
 wins, of equal ones the rule of higher priority).
 """
@@ -23,7 +23,8 @@ WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 BASE: tuple[tuple[str, str], ...] = (
     ("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 BASE_SCORE = 0.6
-#: Licenses: label, keyword, and how the name is written in words.
+#: Licenses: label, keyword (part of every way to write the name), and how the
+#: name is written in words.
 LICENSES: tuple[tuple[str, str, str], ...] = (
     ("mit", "mit", "mit(?: x11)?"),
     ("x11", "x11", "x11"),
@@ -50,7 +51,8 @@ LICENSES: tuple[tuple[str, str, str], ...] = (
     ("epl-1.0", "eclipse", "eclipse public license(?: version| v)? ?1(?: 0)?"),
     ("epl-2.0", "eclipse", "eclipse public license(?: version| v)? ?2(?: 0)?"),
     ("edl-1.0", "eclipse", "eclipse distribution license(?: version| v)? ?1(?: 0)?"),
-    ("cddl-1.0", "cddl", "(?:cddl|common development and distribution license)(?: version)? ?1(?: 0)?"),
+    ("cddl-1.0", "cddl", "cddl(?: version)? ?1(?: 0)?"),
+    ("cddl-1.0", "development", "common development and distribution license(?: version)? ?1(?: 0)?"),
     ("cpl-1.0", "common", "common public license(?: version)? ?1(?: 0)?"),
     ("artistic-1.0", "artistic", "artistic license(?: version)? 1(?: 0)?"),
     ("artistic-2.0", "artistic", "artistic license(?: version)? 2(?: 0)?"),
@@ -147,8 +149,9 @@ def blanks(c: Column) -> Column:
 
 
 def gated(text: Column) -> Column:
-    """Whether a rule's keyword may stand in the text. Each rule needs its
-    keyword and each base phrase is a rule, so the test loses nothing."""
+    """Whether a rule's keyword may stand in the text. Each text that a rule
+    finds holds its keyword, at any place of a word, and each base phrase is a
+    rule, so the test loses nothing."""
     def holds(lower: Column) -> Column:
         test = F.lit(False)
         for word in sorted({r[2] for r in rules()}):
@@ -183,7 +186,7 @@ def detections(rows: DataFrame, table: Sequence[tuple] | None = None) -> DataFra
     signatures = spark.createDataFrame(
         table, "rule int, label string, keyword string, regex string, priority int, weight double")
     keywords = F.array(*[F.lit(k) for k in sorted({r[2] for r in table})])
-    held = F.filter(keywords, lambda k: F.contains(F.col("norm"), F.concat(F.lit(" "), k, F.lit(" "))))
+    held = F.filter(keywords, lambda k: F.contains(F.col("norm"), k))
     tried = rows.withColumn("_uid", F.monotonically_increasing_id()) \
         .withColumn("keyword", F.explode(held)).join(F.broadcast(signatures), "keyword")
     found = F.expr("regexp_extract_all(norm, regex, 0)")

@@ -61,3 +61,52 @@ def test_phrases_and_suppression(spark):
 def test_there_are_hundreds_of_rules_each_with_its_keyword():
     rules = L.rules()
     assert len(rules) >= 300 and all(re.compile(r[3]) for r in rules)
+
+
+def ungated(text):
+    """Labels and score of the finds, without any test for keywords."""
+    norm, spans = f" {' '.join(W.findall((text or '').lower()))} ", []
+    for n, label, _, regex, priority, weight in L.rules():
+        for m in re.finditer(regex, norm):
+            start = norm[:m.start()].count(" ")
+            spans.append((start, -start - m[0].count(" "), priority, n, label, weight))
+    reach, labels, score = -1, set(), 0.0
+    for _, stop, _, _, label, weight in sorted(spans):
+        if -stop > reach:
+            reach = -stop
+            labels.add(label)
+            score = max(score, weight)
+    return ",".join(sorted(labels)), score
+
+
+def test_no_rule_is_lost_to_its_keyword(spark):
+    names = ["the Common Development and Distribution License 1.0", "FreeBSD", "Licensed under Apache2",
+             "Apache2.0 license", "licensed under apache2.0", "cddl1", "CDDL 1.0", "GPLv3", "OpenRAIL-M", "wtfpl"]
+    texts = [f"this is {x} here" for x in names]
+    got = [(r["labels"], r["score"]) for r in L.scan(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == [ungated(t) for t in texts] and all(x for x, _ in got)
+
+
+def test_each_alternative_holds_its_keyword():
+    """Every text that the parts of a rule's regex allow holds the keyword."""
+    import re._parser as parser
+
+    def needs(tree, keyword):
+        run = ""
+        for op, value in tree:
+            name = str(op)
+            if name == "LITERAL":
+                run += chr(value)
+                if keyword in run:
+                    return True
+                continue
+            run = ""
+            inside = [value[-1]] if name == "SUBPATTERN" else value[1] if name == "BRANCH" else \
+                [value[2]] if name == "MAX_REPEAT" and value[0] > 0 else []
+            if inside and all(needs(x, keyword) for x in inside):
+                return True
+        return False
+
+    lost = [(r[1], r[2]) for r in L.rules() if not needs(parser.parse(r[3]), r[2])]
+    assert not lost, lost
