@@ -27,11 +27,15 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is no text of the page.
-SKIPPED = frozenset("script style template noscript svg math iframe object textarea select title head "
+SKIPPED = frozenset("script style template noscript iframe textarea select title head "
                     "audio video canvas map datalist".split())
+#: Elements that may stand in a head; any other closes it, as its end tag may
+#: be left out.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = frozenset("script style textarea title iframe noscript template".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark "
-                   "q s samp small span strike strong sub sup time tt u var wbr label".split())
+                   "q s samp small span strike strong sub sup time tt u var wbr label math semantics mrow mi mn mo "
+                   "ms mtext mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -144,6 +148,8 @@ def blocks_of(page: str | None) -> list[Block]:
         if not tag:
             continue
         tag = tag.lower()
+        if open_tags.get("head") and not closing and tag not in IN_HEAD and stack[-1][0] == "head":
+            pop()
         if closing:
             if open_tags.get(tag):
                 if tag not in INLINE:

@@ -69,3 +69,21 @@ def test_edge_cases(spark, weights):
     assert all(r["text"].count("\n") == 4999 for r in got if r["page_id"] == 4)
     assert all(r["text"] == "" for r in got if r["page_id"] in (1, 2, 5, 6))
     assert H.extract(df.where("false")).count() == 0
+
+
+def test_head_without_its_end_tag(weights):
+    text = "A first paragraph of the article that is long enough, with commas, to count as text."
+    more = "A second paragraph of the article goes on, and it says a little more than that one."
+    article = f"<article><p>{text}</p><p>{more}</p></article>"
+    for head in ("<title>x</title><body>", "<title>x</title>", "<meta charset=utf-8><title>x</title><style>p {}</style>"
+                 "<script>var a;</script><body class=page>", "<title>x</title></head><body>", ""):
+        assert H.main_text(f"<html><head>{head}{article}", weights) == f"{text}\n{more}"
+    for none in ("<html><head><title>x</title>", "<html><head><title>x</title><link rel=y></head></html>"):
+        assert H.main_text(none, weights) == ""
+
+
+def test_text_of_math_and_object_is_read(weights):
+    page = "<article><p>The area is given by <math><mi>a</mi><mo>=</mo><mi>bc</mi></math> for each of the shapes.</p>" \
+           "<p><object data=x>The drawing shows how the parts of the shape fit together, side by side.</object></p></article>"
+    got = H.main_text(page, weights)
+    assert "bc" in got and "fit together, side by side." in got
