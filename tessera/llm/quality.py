@@ -17,9 +17,11 @@ WINDOW = 3
 #: A document fails the base rules below so many words, or above so many per
 #: cent of words in repeated windows.
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: A line is boilerplate of a host if it stands in more than this share of the
-#: host's distinct documents, and in at least so many of them.
-MAX_LINE_SHARE, MIN_LINE_DOCS = 0.1, 20
+#: A line is boilerplate of a host if it stands in at least so many of the
+#: host's distinct documents, whatever the size of the host ...
+MIN_LINE_DOCS = 20
+#: ... or, on a small host, in more than this share of them and at least so many.
+MAX_LINE_SHARE, MIN_SHARE_DOCS = 0.1, 5
 #: A document is depleted if less than this share of its words remains.
 MIN_LEFT_SHARE = 0.3
 
@@ -104,8 +106,9 @@ def frequent_lines(lines: DataFrame, rows: DataFrame) -> DataFrame:
     counted = each.groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
     hosts = rows.select("host", "text_id").distinct() \
         .groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    return counted.where(F.col("docs") >= MIN_LINE_DOCS).join(hosts, "host") \
-        .where(F.col("docs") > MAX_LINE_SHARE * F.col("host_docs")).select("host", "line")
+    return counted.where(F.col("docs") >= MIN_SHARE_DOCS).join(hosts, "host") \
+        .where((F.col("docs") >= MIN_LINE_DOCS) | (F.col("docs") > MAX_LINE_SHARE * F.col("host_docs"))) \
+        .select("host", "line")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

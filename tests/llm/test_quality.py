@@ -52,3 +52,16 @@ def test_frequent_lines_deplete_documents(spark):
         spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert not any(got[i] for i in range(40))
     assert all(v for i, v in got.items() if i >= 100)
+
+
+def test_limit_acts_alike_on_large_and_small_hosts(spark):
+    rnd = random.Random(6)
+    own = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    templates = [own(60) for _ in range(12)]    # each in 25 of 300 documents: less than a tenth
+    rows = [(i, f"{templates[i % 12]}\n{own(6)}", "large") for i in range(300)]
+    rows += [(1000 + i, f"{templates[0]}\n{own(6)}" if i < 11 else own(70), "small") for i in range(50)]
+    rows += [(2000 + i, f"{templates[1]}\n{own(6)}" if i < 4 else own(70), "few") for i in range(30)]
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not any(got[i] for i in [*range(300), *range(1000, 1011)])
+    assert all(got[i] for i in [*range(1011, 1050), *range(2000, 2030)])
