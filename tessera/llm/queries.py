@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import (bpe, decontaminate, html_mincut, license_scan, line_dedup, quality, shard,
-                         simhash, toxicity, url_filter)
+from tessera.llm import (bpe, decontaminate, html_mincut, license_scan, line_dedup, quality,
+                         quality_zstd, shard, simhash, toxicity, url_filter)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -78,6 +78,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op13_quality_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_zstd.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_shards": op9_shards,
     "op10_quality": op10_quality,
+    "op13_quality_zstd": op13_quality_zstd,
     "pipeline": pipeline,
 }
 
