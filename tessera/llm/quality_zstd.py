@@ -22,7 +22,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.util import cut
+from tessera.llm.util import bounded_sample, cut
 
 #: Labelled rows at most, of each class, that pieces are taken from, pieces at
 #: most that a dictionary is trained on, and rows that the curve is fitted on.
@@ -110,11 +110,6 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]
     return cut(known.where(F.col("fold") != HELD_OUT)), docs.where("doc_id is not null").select("doc_id", "text")
 
 
-def _sample(known: DataFrame, n: int) -> DataFrame:
-    """At most ``n`` labelled ids, by a hash that says nothing about them."""
-    return known.select("doc_id", "label").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-
-
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """Dictionaries and curve from ``labels(doc_id, quality)`` outside the
     held-out fold; three of the other folds give the dictionaries, one the
@@ -129,12 +124,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
     held = []
     for label in (0, 1):
-        some = cut(_sample(known.where((F.col("fold") != CURVE_FOLD) & (F.col("label") == label)), MAX_FIT_ROWS))
+        some = cut(bounded_sample(known.where((F.col("fold") != CURVE_FOLD) & (F.col("label") == label)), "doc_id", MAX_FIT_ROWS))
         got = texts.join(F.broadcast(some), "doc_id").select("text").mapInPandas(cut_up, "piece binary") \
             .orderBy(F.xxhash64("piece"), "piece").limit(SAMPLE_PIECES).toArrow()
         held.append(_kept(train([p.as_py() for p in got["piece"]])))
 
-    some = cut(_sample(known.where(F.col("fold") == CURVE_FOLD), CURVE_ROWS))
+    some = cut(bounded_sample(known.where(F.col("fold") == CURVE_FOLD), "doc_id", CURVE_ROWS))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sizes = Sizes(held)

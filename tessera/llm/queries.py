@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import (bpe, decontaminate, html_mincut, license_scan, line_dedup, quality,
-                         quality_zstd, shard, simhash, toxicity, url_filter)
+from tessera.llm import (bpe, decontaminate, html_mincut, license_scan, line_dedup, prefix_trie, quality,
+                         quality_zstd, shard, simhash, toxicity, url_filter, vector_codes)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -78,6 +78,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_read(spark, sf_dir, "conversations"))
+
+
 def op13_quality_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_zstd.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -98,10 +106,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_shards": op9_shards,
     "op10_quality": op10_quality,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_quality_zstd": op13_quality_zstd,
     "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_url_filter": url_filter.oracle(),
+    "op11_vector_codes": vector_codes.oracle(),
+    "op12_prefix_trie": prefix_trie.oracle(),
 }

@@ -43,3 +43,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bounded_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """At most ``n`` of the (stored) ``rows``, those of the least hash of ``key``,
+    which says nothing about them. Where there are many more, a bound on the
+    hash that about ``2 * n`` rows pass goes first, so that the task that takes
+    the ``n`` reads little, however many rows there are."""
+    place = F.pmod(F.xxhash64(key), F.lit(2 ** 31 - 1))
+    total = rows.count()
+    if total > 4 * n:
+        rows = rows.where(place < F.lit(int((2 ** 31 - 1) * (2 * n + 1000) / total)))
+    return rows.orderBy(place, key).limit(n)
