@@ -148,7 +148,9 @@ def nodes_of(convs: DataFrame, rows: DataFrame, levels: int) -> tuple[DataFrame,
     paths = None
     if levels:
         names = named(rows, levels)
-        groups = names.groupBy("a", "b").agg(F.min("conv").alias("node"), F.count(F.lit(1)).alias("n_convs"))
+        # stored, so that the join reads both sides from shuffles of its own and
+        # can split the name that very many conversations share
+        groups = stored(names.groupBy("a", "b").agg(F.min("conv").alias("node"), F.count(F.lit(1)).alias("n_convs")), "trie-groups")
         paths = stored(names.join(groups, ["a", "b"]).select("conv", "depth", "node", "n_convs"), "trie-paths")
     else:
         paths = spark.createDataFrame([], "conv long, depth long, node long, n_convs long")
@@ -272,8 +274,8 @@ def oracle(table: str = "conversations") -> str:
     return f"""
     WITH ids AS (SELECT DISTINCT conv_id AS c FROM {table} WHERE conv_id IS NOT NULL),
     crc AS (SELECT c, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
-                string_split(CAST(c AS VARCHAR), ''), s -> [ascii(s)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
-                (acc, o) -> CASE WHEN o >= 0 THEN xor(acc, o) ELSE xor(acc >> 1, (acc & 1) * 3988292384) END),
+                string_split(CAST(c AS VARCHAR), ''), lambda s: [ascii(s)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda acc, o: CASE WHEN o >= 0 THEN xor(acc, o) ELSE xor(acc >> 1, (acc & 1) * 3988292384) END),
                 4294967295::BIGINT) % {HEADS} AS h FROM ids),
     t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS p

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tessera.llm.util import stored
+
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
@@ -35,17 +37,19 @@ def words_of(text: Column) -> Column:
 
 def repeated_words(words: Column) -> Column:
     """Words that some three-word window covers whose words occur in that
-    order twice or more; linear in the text but for one sort of its windows.
+    order twice or more; linear in the text but for one sort of its windows,
+    which only texts with a repeated window take.
 
     Windows are sorted by their hash and place; a window is repeated if a
     neighbour has the same hash. The places of the repeated ones, in order,
     each add the words that the one before did not cover."""
     n = F.size(words) - (WINDOW - 1)
-    windows = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"),
-        i.alias("i")))
-    none = F.array().cast("array<struct<h:bigint,i:int>>")
-    s = F.array_sort(F.when(n >= 2, windows).otherwise(none))
+    hashes = F.when(n >= 2, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(
+        F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))).otherwise(F.array().cast("array<bigint>"))
+
+    def if_any(hashes: Column) -> Column:
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("bigint")).otherwise(
+            _let(_let(F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), covered), total))
 
     def covered(sorted_windows: Column) -> Column:
         twice = F.filter(sorted_windows, lambda x, k: (
@@ -58,7 +62,7 @@ def repeated_words(words: Column) -> Column:
             F.lit(WINDOW), F.coalesce(F.get(places, k + 1) - p, F.lit(WINDOW))))
         return F.aggregate(gaps, F.lit(0).cast("bigint"), lambda a, g: a + g)
 
-    return _let(_let(s, covered), total)
+    return _let(hashes, if_any)
 
 
 def _let(value: Column, body) -> Column:
@@ -124,7 +128,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(host_col), F.lit("\0"))
                        .alias("host"), text.alias("text"), F.unhex(F.md5(text)).alias("text_id"))
-    lines = line_words(rows)
+    # narrow, and read twice: for the frequent lines and for what they remove
+    lines = stored(line_words(rows), "quality-lines")
     often = frequent_lines(lines, rows)
     copies = rows.groupBy("host", "text_id").agg(F.count(F.lit(1)).alias("copies"))
     removed = lines.join(often, ["host", "line"], "left_semi") \

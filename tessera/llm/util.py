@@ -55,3 +55,12 @@ def bounded_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
     if total > 4 * n:
         rows = rows.where(place < F.lit(int((2 ** 31 - 1) * (2 * n + 1000) / total)))
     return rows.orderBy(place, key).limit(n)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column
+    (names are compared without case, as Spark does)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -356,7 +355,7 @@ def oracle(table: str = "embeddings", parts: int = PARTS, entries: int = ENTRIES
     head = f"""
     WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label, embedding,
                          CAST(len(embedding) / {parts} AS BIGINT) AS width FROM {table}
-                  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     v AS MATERIALIZED (SELECT rid, i // width AS part, i % width AS pos,
                  CAST(floor({SCALE} * CAST(embedding[i + 1] AS DOUBLE)) AS BIGINT) AS x
           FROM (SELECT rid, embedding, width, unnest(range(len(embedding))) AS i FROM kept)),
