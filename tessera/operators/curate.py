@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.model import GROUP_COLUMNS
-from tessera.session import checkpointed
+from tessera.session import checkpointed, stored
 
 KNOWN_ROLES = ("system", "user", "assistant")
+#: Groups of a plan up to which it is broadcast.
+BROADCAST_GROUPS = 100_000
 
 
 def running_total(df: DataFrame, value: str, order: Sequence[Column], name: str) -> DataFrame:
@@ -28,12 +30,26 @@ def running_total(df: DataFrame, value: str, order: Sequence[Column], name: str)
         .select(*df.columns, (F.col("_before") + F.col("_local")).cast("bigint").alias(name))
 
 
+def _planned(manifest: DataFrame) -> DataFrame:
+    order = [F.col("approx_tokens").desc(), F.col("file")]
+    return running_total(manifest, "approx_tokens", order, "running_tokens")
+
+
 def token_budget(manifest: DataFrame, budget: int) -> DataFrame:
     """The manifest rows, largest first, whose tokens fit the budget together,
     with their ``running_tokens``."""
-    order = [F.col("approx_tokens").desc(), F.col("file")]
-    planned = running_total(manifest, "approx_tokens", order, "running_tokens")
-    return planned.where(F.col("running_tokens") <= budget)
+    return _planned(manifest).where(F.col("running_tokens") <= budget)
+
+
+def load_planned(corpus: DataFrame, manifest: DataFrame, budget: int) -> DataFrame:
+    """The rows of a corpus partitioned by group that a budget plan over its
+    manifest loads. The plan is a stored table with a filter, so that its groups
+    prune the partitions of the corpus when the query runs; it is broadcast up
+    to ``BROADCAST_GROUPS`` groups, beyond which the join shuffles and reads all."""
+    plan = stored(_planned(manifest), "budget-plan")
+    chosen = plan.where(F.col("running_tokens") <= budget).select(*GROUP_COLUMNS)
+    chosen = F.broadcast(chosen) if plan.count() <= BROADCAST_GROUPS else chosen
+    return corpus.join(chosen, list(GROUP_COLUMNS))
 
 
 def reconcile(stored: DataFrame, computed: DataFrame) -> DataFrame:
@@ -73,6 +89,14 @@ def chat_rules(messages: Column) -> dict[str, Column]:
     return {name: F.coalesce(rule, F.lit(False)) for name, rule in rules.items()}
 
 
+def chat_valid(messages: Column) -> Column:
+    """Whether every rule of a chat entry holds."""
+    valid = F.lit(True)
+    for rule in chat_rules(messages).values():
+        valid = valid & rule
+    return valid
+
+
 def hash_bucket(key: Column, buckets: int = 100) -> Column:
     """A stable bucket of a key from the first 24 bits of its MD5."""
     return F.conv(F.substring(F.md5(key.cast("string")), 1, 6), 16, 10).cast("bigint") % buckets

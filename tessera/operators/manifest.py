@@ -93,9 +93,10 @@ def odd_files(files: DataFrame) -> DataFrame:
                      F.count(F.when(F.col("odd_name"), 1)).alias("odd_files"))
 
 
-def line_audit(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
+def line_audit(lines: DataFrame, files: DataFrame | None = None, valid: Column | None = None) -> DataFrame:
     """Per file: physical lines, blank lines and lines that do not parse to
-    an entry with messages (from ``sources.scan_chat_lines``). Nothing is
+    an entry with messages (from ``sources.scan_chat_lines``), and with
+    ``valid``, a rule over ``entry``, how many of the others hold it. Nothing is
     dropped without being counted; with the listing ``files`` empty files
     have a row of zeros too."""
     blank = F.trim(F.col("line")) == ""
@@ -104,13 +105,13 @@ def line_audit(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("lines"),
         F.count(F.when(blank, 1)).alias("blank_lines"),
         F.count(F.when(broken, 1)).alias("broken_lines"),
+        *([F.count(F.when(~blank & ~broken & valid, 1)).alias("valid_entries")] if valid is not None else []),
         F.max("file_size").alias("file_size"))
     if files is None:
         return out
-    zero = F.lit(0).cast("bigint")
+    group = {*GROUP_COLUMNS, "file_path", "file_size"}
     empty = files.where(~F.col("odd_name") & (F.col("file_size") == 0)).select(
-        *GROUP_COLUMNS, "file_path", zero.alias("lines"), zero.alias("blank_lines"),
-        zero.alias("broken_lines"), "file_size")
+        *[F.col(c) if c in group else F.lit(0).cast("bigint").alias(c) for c in out.columns])
     return out.unionByName(empty)
 
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import chats, corpus, curation, streams, synthesis
+from tessera.plans import chats, corpus, curation, files, streams, synthesis, training
 from tessera.plans.oracle import oracle_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -44,6 +44,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "synth_corpus_files": synthesis.synth_corpus_files,
     "section_audit": synthesis.section_audit,
     "synth_failures": synthesis.synth_failures,
+    "generation_result": synthesis.generation_result,
+    "diversity_audit": training.diversity_audit,
+    "diversity_missing": training.diversity_missing,
     "hierarchy_lists": synthesis.hierarchy_lists,
     # planning and curation
     "manifest_round_trip": curation.manifest_round_trip,
@@ -52,10 +55,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chat_validate": curation.chat_validate,
     "hash_split": curation.hash_split,
     "release_dedup": curation.release_dedup,
+    "budget_load": files.budget_load,
+    # training: packing, sampling, shards, length profiles
+    "pack_sequences": training.pack_sequences,
+    "mixture_sample": training.mixture_sample,
+    "byte_shards": training.byte_shards,
+    "length_profile": training.length_profile,
+    "length_bins": training.length_bins,
+    "length_sketch": training.length_sketch,
     # files: streams and the JSON Lines round trip
     "stream_manifest": streams.stream_manifest,
     "stream_dedup": streams.stream_dedup,
     "jsonl_file_manifest": streams.jsonl_file_manifest,
+    # the flat layout and its audit
+    "flat_corpus_manifest": files.flat_corpus_manifest,
+    "line_audit": files.line_audit,
+    "odd_files": files.odd_files,
 }
 
 __all__ = ["QUERIES", "oracle_sql"]

@@ -21,7 +21,7 @@ VALIDATION_PERCENT = 10
 RELEASED_SOURCE = "src0"
 
 
-def _stored_manifest(spark: SparkSession, root: str) -> DataFrame:
+def stored_manifest(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "manifest") + "/index.jsonl"
     write_manifest(report.ranked(corpus.corpus_manifest(spark, root), corpus.LANG_ORDER), path)
     return scan_manifest(spark, path)
@@ -29,13 +29,13 @@ def _stored_manifest(spark: SparkSession, root: str) -> DataFrame:
 
 def manifest_round_trip(spark: SparkSession, root: str) -> DataFrame:
     """The manifest written in rank order and read back."""
-    return _stored_manifest(spark, root).select(*MANIFEST_COLUMNS)
+    return stored_manifest(spark, root).select(*MANIFEST_COLUMNS)
 
 
 def token_budget_plan(spark: SparkSession, root: str) -> DataFrame:
     """Files of the stored manifest that fit the budget, largest first, and
     the documents that loading only them gives (a semi-join)."""
-    plan = curate.token_budget(_stored_manifest(spark, root), TOKEN_BUDGET)
+    plan = curate.token_budget(stored_manifest(spark, root), TOKEN_BUDGET)
     docs = table(spark, root, "documents", "lang", "source") \
         .withColumnsRenamed({"lang": "skill", "source": "subtopic"})
     loaded = docs.join(plan.select("skill", "subtopic"), ["skill", "subtopic"], "left_semi") \
@@ -51,17 +51,14 @@ def manifest_reconcile(spark: SparkSession, root: str) -> DataFrame:
                               "key", "doc_id")
     computed = build_manifest(firsts.withColumnsRenamed({"lang": "skill", "source": "subtopic"}),
                               F.col("chars"), F.col("size"))
-    return curate.reconcile(_stored_manifest(spark, root), computed)
+    return curate.reconcile(stored_manifest(spark, root), computed)
 
 
 def chat_validate(spark: SparkSession, root: str) -> DataFrame:
     """Each thread against the rules of a chat entry."""
     rules = curate.chat_rules(F.col("messages"))
-    valid = F.lit(True)
-    for rule in rules.values():
-        valid = valid & rule
     return chats.threads(spark, root).select("conv_id", *[r.alias(n) for n, r in rules.items()],
-                                             valid.alias("valid"))
+                                             curate.chat_valid(F.col("messages")).alias("valid"))
 
 
 def hash_split(spark: SparkSession, root: str) -> DataFrame:

@@ -13,7 +13,9 @@ from tessera.functions.text import template_parts
 from tessera.model import ANSWER_TEMPLATE
 from tessera.plans.corpus import CAP_PER_GROUP, LANG_ORDER, MIN_ENTRIES_TO_LOAD
 from tessera.plans.curation import RELEASED_SOURCE, TOKEN_BUDGET, VALIDATION_PERCENT
+from tessera.plans.files import BLANK, CUT, TURNED, UNGROUPED
 from tessera.plans.synthesis import SECTIONS, SYNTH_TEMPLATES
+from tessera.plans.training import (BAND, BIN_WIDTH, BYTE_SHARDS, MIXTURE, PACK_BUDGET, PACK_SHARDS, PROBS)
 
 
 def _q(s: str) -> str:
@@ -192,6 +194,60 @@ def _walked_entries() -> str:
       ON k.skill = w.skill AND k.subtopic = w.subtopic AND k.idx = w.idx % w.period)"""
 
 
+_DIMS = ("audience", "perspective", "fmt", "template")
+_SIZES = {"audience": "na", "perspective": "np", "fmt": "nf", "template": str(len(SYNTH_TEMPLATES))}
+
+#: Positions of the kept entries in each dimension.
+_CELLS = f"""
+, cells AS (
+  SELECT CAST(idx % na AS INTEGER) AS audience, CAST(idx // na % np AS INTEGER) AS perspective,
+         CAST(idx // (na * np) % nf AS INTEGER) AS fmt, CAST(template_pos AS INTEGER) AS template
+  FROM kept, sizes
+)
+"""
+
+
+def _diversity_audit() -> str:
+    parts = []
+    for dims in [(a,) for a in _DIMS] + [(a, b) for i, a in enumerate(_DIMS) for b in _DIMS[i + 1:]]:
+        parts.append(f"""SELECT '{"+".join(dims)}' AS dims, CAST(sum(n) AS BIGINT) AS entries, count(*) AS present,
+  CAST(any_value({" * ".join(_SIZES[d] for d in dims)}) AS BIGINT) AS possible, sum(n * log2(n)) AS s
+  FROM (SELECT {", ".join(dims)}, count(*) AS n FROM cells GROUP BY ALL), sizes""")
+    return _synth_with() + _CELLS + f"""
+SELECT dims, entries, present, possible, possible - present AS missing,
+       round(greatest(log2(entries) - s / entries, 0), 6) AS entropy,
+       round(CASE WHEN possible > 1 THEN greatest(log2(entries) - s / entries, 0) / log2(possible) ELSE 1 END, 6) AS evenness
+FROM ({" UNION ALL ".join(parts)})"""
+
+
+def _diversity_missing() -> str:
+    def columns(dims: tuple[str, ...]) -> str:
+        return ", ".join((d if d in dims else f"-1 AS {d}") for d in _DIMS)
+    parts = []
+    for dims in [(a,) for a in _DIMS] + [(a, b) for i, a in enumerate(_DIMS) for b in _DIMS[i + 1:]]:
+        ranges = ", ".join(f"(SELECT CAST(unnest(range({_SIZES[d]})) AS INTEGER) AS {d} FROM sizes)" for d in dims)
+        parts.append(f"""SELECT '{"+".join(dims)}' AS dims, {columns(dims)} FROM (
+  SELECT * FROM {ranges} EXCEPT SELECT {", ".join(dims)} FROM cells)""")
+    return _synth_with() + _CELLS + " UNION ALL ".join(parts)
+
+
+def _flat_lines() -> str:
+    """The lines of the corpus with all sorts of lines, by file."""
+    def hit(rule: tuple[int, int]) -> str:
+        return f"doc_id % {rule[0]} = {rule[1]}"
+
+    def entry(first: str, second: str) -> str:
+        role = {"user": "'Write a text in ' || lang || '.'", "assistant": "text"}
+        turn = [f"'{{\"role\": \"{r}\", \"content\": ' || to_json({role[r]})::VARCHAR || '}}'" for r in (first, second)]
+        return f"('{{\"messages\": [' || {turn[0]} || ', ' || {turn[1]} || ']}}')"
+    return f"""
+SELECT lang AS skill, source AS subtopic, {hit(UNGROUPED)} AS odd, {hit(BLANK)} AS blank, {hit(CUT)} AND NOT {hit(BLANK)} AS broken,
+       {hit(TURNED)} AS turned, coalesce(trim(text), '') <> '' AS filled, length(text) AS chars, length('Write a text in ' || lang || '.') AS asked,
+       CASE WHEN {hit(BLANK)} THEN '  ' WHEN {hit(CUT)} THEN substr(e, 1, 40) ELSE e END AS line, whole
+FROM (SELECT *, CASE WHEN {hit(TURNED)} THEN {entry("assistant", "user")} ELSE {entry("user", "assistant")} END AS e,
+             {entry("user", "assistant")} AS whole FROM documents)"""
+
+
 def oracle_sql() -> dict[str, str]:
     rank = _rank_case("skill")
     order_values = ", ".join(f"({i}, {_q(s)})" for i, s in enumerate(LANG_ORDER))
@@ -268,24 +324,40 @@ SELECT skill, subtopic, CAST(idx AS BIGINT) AS idx, md5(prompt) AS prompt_md5 FR
         "synth_manifest": _synth_with() + _manifest_of(_kept_entries()),
         "synth_walk": _synth_with() + _WALK + "SELECT skill, subtopic, CAST(idx AS BIGINT) AS idx FROM walked",
         "synth_walk_manifest": _synth_with() + _WALK + _manifest_of(_walked_entries()),
-        "synth_entries": _synth_with(_SEGMENTS) + f"""
+        "synth_entries": _synth_with() + f"""
 SELECT skill, subtopic, CAST(idx AS BIGINT) AS idx, md5(prompt) AS prompt_md5, md5(answer) AS answer_md5,
        md5({_CANON_LINE}) AS line_md5 FROM ({_kept_entries()})""",
-        "synth_corpus_files": _synth_with(_SEGMENTS) + _manifest_of(_kept_entries()),
-        "section_audit": _synth_with(_SEGMENTS) + f"""
+        "synth_corpus_files": _synth_with() + _manifest_of(_kept_entries()),
+        "diversity_audit": _diversity_audit(),
+        "diversity_missing": _diversity_missing(),
+        "section_audit": _synth_with() + f"""
 SELECT skill, subtopic, CAST(count(*) AS BIGINT) AS entries,
   CAST(count(*) FILTER (regexp_extract_all(answer, '\\*\\*([^*]+)\\.\\*\\*', 1) = {SECTIONS}
     AND len(list_filter(regexp_split_to_array(answer, '\\*\\*[^*]+\\.\\*\\*')[2:],
                         lambda b: trim(b) = '')) = 0) AS BIGINT) AS complete
 FROM ({_kept_entries()}) GROUP BY skill, subtopic""",
-        "synth_failures": _synth_with() + """
-, period AS (SELECT na * np * nf * __NT__ AS p FROM sizes),
-lost AS (SELECT count(*) AS n FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-         WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey))
-SELECT r.reason, CAST(CASE r.reason WHEN 'missing_group' THEN n ELSE 0 END AS BIGINT) AS files,
-       CAST(CASE r.reason WHEN 'missing_group' THEN n * p ELSE 0 END AS BIGINT) AS entries
-FROM lost, period, (VALUES ('missing_group'), ('definition'), ('template')) r(reason)"""
-        .replace("__NT__", str(len(SYNTH_TEMPLATES))),
+        "synth_failures": _synth_with() + f"""
+, each AS (SELECT na * np * nf AS p FROM sizes),
+wanted AS (SELECT c_name AS name, c_acctbal < 0 AS debt,
+                  NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey) AS lost
+           FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+           UNION ALL SELECT s_name, false, true FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
+f AS (SELECT CAST(count(*) FILTER (lost) AS BIGINT) AS missing, CAST(count(*) FILTER (NOT lost AND debt) AS BIGINT) AS bad,
+             CAST(count(*) FILTER (NOT lost AND NOT debt) AS BIGINT) AS usable FROM wanted)
+SELECT r.reason, CAST(CASE r.reason WHEN 'missing_group' THEN missing WHEN 'definition' THEN bad ELSE usable END AS BIGINT) AS files,
+       CAST(CASE r.reason WHEN 'missing_group' THEN missing * p * {len(SYNTH_TEMPLATES) + 1}
+                          WHEN 'definition' THEN bad * p * {len(SYNTH_TEMPLATES) + 1} ELSE usable * p END AS BIGINT) AS entries
+FROM f, each, (VALUES ('missing_group'), ('definition'), ('template')) r(reason)""",
+        "generation_result": _synth_with(_SEGMENTS) + f"""
+, w AS (SELECT count(DISTINCT (n_name, c_mktsegment)) AS files FROM customer JOIN nation ON c_nationkey = n_nationkey),
+t AS (SELECT files * na * np * nf * {len(SYNTH_TEMPLATES) + 1} AS tried FROM w, sizes),
+k AS (SELECT count(*) AS usable FROM keyed),
+m AS (SELECT sum(entries) AS kept, sum(bytes) AS bytes, sum(chars) AS chars, count(*) AS files FROM (
+  SELECT skill, subtopic, count(*) AS entries, sum(strlen({_CANON_LINE}) + 1) AS bytes, sum(length(prompt) + length(answer)) AS chars
+  FROM ({_kept_entries()}) GROUP BY skill, subtopic))
+SELECT r.measure, CAST(CASE r.measure WHEN 'tried' THEN tried WHEN 'failed' THEN tried - usable WHEN 'repeated' THEN usable - kept
+  WHEN 'kept' THEN kept WHEN 'scanned' THEN kept WHEN 'chars' THEN chars WHEN 'files' THEN files ELSE bytes END AS BIGINT) AS value
+FROM t, k, m, (VALUES ('tried'), ('failed'), ('repeated'), ('kept'), ('chars'), ('bytes'), ('files'), ('file_bytes'), ('scanned')) r(measure)""",
         "hierarchy_lists": """
 SELECT r_name AS skill, r_regionkey AS skill_rank, CAST(count(*) AS BIGINT) AS files,
        string_agg(n_name, ', ' ORDER BY n_nationkey DESC) AS subtopics
@@ -326,6 +398,54 @@ FROM (SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 6) AS
         "release_dedup": f"""
 SELECT doc_id, source, md5(text) AS text_md5 FROM documents WHERE source <> '{RELEASED_SOURCE}'
 AND md5(text) NOT IN (SELECT md5(text) FROM documents WHERE source = '{RELEASED_SOURCE}')""",
+    }
+    tokens = "(SELECT doc_id, lang, coalesce(length(text), 0) // 4 AS tokens, md5(CAST(doc_id AS VARCHAR)) AS h FROM documents)"
+    bucket = "CAST('0x' || substr(h, 1, 3) AS INTEGER)"
+    weights = ", ".join(f"('{g}', {w})" for g, w in MIXTURE.items())
+    marks = ", ".join(f"quantile_cont(tokens, {p}) AS p{f'{p * 100:g}'.replace('.', '_')}" for p in PROBS)
+    q |= {
+        "pack_sequences": f"""
+SELECT doc_id, CAST(tokens AS BIGINT) AS tokens, shard, CAST(b // {PACK_BUDGET} AS BIGINT) AS pack,
+       CAST(b % {PACK_BUDGET} AS BIGINT) AS start
+FROM (SELECT *, sum(tokens) OVER (PARTITION BY shard ORDER BY h, doc_id, tokens ROWS UNBOUNDED PRECEDING) - tokens AS b
+      FROM (SELECT *, CAST(CAST('0x' || substr(h, 1, 6) AS BIGINT) % {PACK_SHARDS} AS INTEGER) AS shard FROM {tokens}))""",
+        "mixture_sample": f"""
+WITH d AS (SELECT *, {bucket} AS bucket FROM {tokens}), w(lang, w) AS (VALUES {weights}),
+u AS (SELECT min(t // w) AS unit FROM (SELECT lang, sum(tokens) AS t FROM d GROUP BY lang) JOIN w USING (lang)),
+h AS (SELECT lang, bucket, sum(sum(tokens)) OVER (PARTITION BY lang ORDER BY bucket) AS run FROM d GROUP BY lang, bucket),
+c AS (SELECT lang, coalesce(min(bucket) FILTER (run > w * unit), 4096) AS cutoff FROM h JOIN w USING (lang), u GROUP BY lang)
+SELECT doc_id, d.lang, bucket, CAST(tokens AS BIGINT) AS tokens FROM d JOIN c ON d.lang = c.lang AND bucket < cutoff""",
+        "byte_shards": f"""
+WITH d AS (SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 3) AS INTEGER) AS bucket,
+                  strlen(text) AS s FROM documents),
+h AS (SELECT bucket, sum(sum(s)) OVER (ORDER BY bucket) - sum(s) AS before, sum(sum(s)) OVER () AS total FROM d GROUP BY bucket)
+SELECT doc_id, bucket, CAST(least({BYTE_SHARDS} - 1, before * {BYTE_SHARDS} // total) AS INTEGER) AS shard FROM d JOIN h USING (bucket)""",
+        "length_profile": f"""
+SELECT lang AS skill, count(*) AS entries, min(tokens) AS least, max(tokens) AS greatest,
+       avg(CASE WHEN tokens BETWEEN {BAND[0]} AND {BAND[1]} THEN 1 ELSE 0 END) AS in_band, {marks} FROM {tokens} GROUP BY lang""",
+        "length_bins": f"""
+SELECT lang AS skill, CAST(tokens // {BIN_WIDTH} * {BIN_WIDTH} AS BIGINT) AS bin, count(*) AS entries FROM {tokens} GROUP BY 1, 2""",
+        "length_sketch": f"""
+SELECT lang AS skill, p, count(*) AS entries, true AS within
+FROM documents, (SELECT CAST(unnest({list(PROBS)}) AS DOUBLE) AS p) GROUP BY lang, p""",
+        "flat_corpus_manifest": f"""
+SELECT skill || '__' || subtopic || '.jsonl' AS file, skill, subtopic, count(*) AS entries,
+       CAST(sum(strlen(whole) + 1) AS BIGINT) AS bytes, CAST(sum(chars + asked) // 4 AS BIGINT) AS approx_tokens
+FROM ({_flat_lines()}) GROUP BY skill, subtopic""",
+        "line_audit": f"""
+SELECT skill, subtopic, count(*) AS lines, CAST(count(*) FILTER (blank) AS BIGINT) AS blank_lines,
+       CAST(count(*) FILTER (broken) AS BIGINT) AS broken_lines,
+       CAST(count(*) FILTER (NOT blank AND NOT broken AND NOT turned AND filled) AS BIGINT) AS valid_entries,
+       CAST(sum(strlen(line) + 1) AS BIGINT) AS file_size FROM ({_flat_lines()}) WHERE NOT odd GROUP BY skill, subtopic
+UNION ALL SELECT DISTINCT lang, 'nothing yet', 0, 0, 0, 0, 0 FROM documents""",
+        "odd_files": f"""
+SELECT count(*) AS files, count(*) FILTER (e) AS empty_files, count(*) FILTER (odd) AS odd_files FROM (
+  SELECT DISTINCT skill, CASE WHEN odd THEN '' ELSE subtopic END, odd, false AS e FROM ({_flat_lines()})
+  UNION ALL SELECT DISTINCT lang, 'nothing yet', false, true FROM documents)""",
+        "budget_load": f"""
+SELECT skill, subtopic, entries AS loaded, chars FROM (
+  SELECT *, sum(approx_tokens) OVER (ORDER BY approx_tokens DESC, file ROWS UNBOUNDED PRECEDING) AS r
+  FROM ({DOC_MANIFEST})) WHERE r <= {TOKEN_BUDGET}""",
     }
     # The streaming manifest must equal the batch manifest.
     q["stream_manifest"] = q["corpus_manifest"]
