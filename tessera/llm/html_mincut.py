@@ -78,11 +78,32 @@ ADJACENT, SIBLING = 1.0, 0.6
 MAX_COST, UNIT = 8.0, 1000
 
 
+class Place:
+    """A block element among those around it."""
+
+    __slots__ = ("parent", "depth")
+
+    def __init__(self, parent: Place | None):
+        self.parent, self.depth = (parent, parent.depth + 1) if parent else (self, 0)
+
+    def steps_to(self, other: Place) -> int:
+        """Elements to leave and to enter on the way; between blocks that follow
+        each other no more than the page has tags there."""
+        a, b, steps = self, other, 0
+        while a is not b:
+            steps += 1
+            if a.depth >= b.depth:
+                a = a.parent
+            else:
+                b = b.parent
+        return steps
+
+
 class Block:
-    __slots__ = ("text", "linked", "flags", "path")
+    __slots__ = ("text", "linked", "flags", "place")
 
-    def __init__(self, text: str, linked: int, flags: int, path: tuple[int, ...]):
-        self.text, self.linked, self.flags, self.path = text, linked, flags, path
+    def __init__(self, text: str, linked: int, flags: int, place: Place):
+        self.text, self.linked, self.flags, self.place = text, linked, flags, place
 
 
 def _own_flags(tag: str, attributes: str) -> int:
@@ -108,15 +129,16 @@ def blocks_of(page: str | None) -> list[Block]:
     where their parents end."""
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, int, int]] = []     # tag, flags with those of parents, number of the node
-    path: list[int] = []                       # numbers of the open block elements
+    stack: list[tuple[str, int]] = []          # tag, flags with those of parents
+    place = top = Place(None)                  # the innermost open block element
     open_tags: dict[str, int] = {}
     parts: list[str] = []
-    linked = count = flags = at = 0
-    where: tuple[int, ...] = ()
+    linked = flags = at = 0
+    where, said = top, False                   # of the block; whether it has any text so far
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, said
+        said = False
         if parts:
             text = " ".join("".join(parts).split())
             if text:
@@ -125,10 +147,11 @@ def blocks_of(page: str | None) -> list[Block]:
         linked = 0
 
     def pop() -> None:
+        nonlocal place
         tag = stack.pop()[0]
         open_tags[tag] -= 1
         if tag not in INLINE:
-            path.pop()
+            place = place.parent
 
     scan = TOKEN.scanner(page).match
     while (m := scan()) is not None:
@@ -138,8 +161,8 @@ def blocks_of(page: str | None) -> list[Block]:
                 continue
             text = html.unescape(token) if "&" in token else token
             now = stack[-1][1] if stack else 0
-            if not parts or not "".join(parts).strip():
-                flags, where = now & ~BIT["link"], tuple(path)
+            if not said:
+                flags, where, said = now & ~BIT["link"], place, bool(text.strip())
             parts.append(text)
             if now & BIT["link"]:
                 linked += len(text.strip())
@@ -181,12 +204,11 @@ def blocks_of(page: str | None) -> list[Block]:
             own &= ~BIT["header"]
         if tag in SKIPPED:
             own |= SKIP_BIT
-        count += 1
         if not attributes.endswith("/"):
-            stack.append((tag, above | own, count))
+            stack.append((tag, above | own))
             open_tags[tag] = open_tags.get(tag, 0) + 1
             if tag not in INLINE:
-                path.append(count)
+                place = Place(place)
         if tag in RAW:
             end = re.compile(rf"</{tag}", re.I).search(page, m.end())
             at = end.start() if end else len(page)
@@ -301,15 +323,9 @@ def edges_of(blocks: list[Block]) -> list[tuple[int, int, int]]:
     out, last = [], {}
     for j, b in enumerate(blocks):
         if j:
-            a = blocks[j - 1].path
-            same = 0
-            for x, y in zip(a, b.path):
-                if x != y:
-                    break
-                same += 1
-            steps = max(len(a) + len(b.path) - 2 * same - 2, 0)  # 0: blocks of one parent
+            steps = max(blocks[j - 1].place.steps_to(b.place) - 2, 0)  # 0: blocks of one parent
             out.append((j - 1, j, round(UNIT * ADJACENT / (1 + steps))))
-        parent = b.path[:-1]
+        parent = b.place.parent
         i = last.get(parent)
         if i is not None and i != j - 1:
             out.append((i, j, round(UNIT * SIBLING)))
@@ -363,8 +379,9 @@ def min_cut(costs: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
                 for e in way:
                     room[e] -= push
                     room[e ^ 1] += push
-                while way and room[way[-1]] == 0 or any(room[e] == 0 for e in way):
-                    a = to[way.pop() ^ 1]
+                full = next(k for k, e in enumerate(way) if not room[e])
+                a = to[way[full] ^ 1]  # on from before the first full edge
+                del way[full:]
                 continue
             while nth[a] < len(out[a]):
                 e = out[a][nth[a]]

@@ -24,7 +24,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 MIN_LINE_DOCS = 20
 #: ... or, on a small host, in more than this share of them and at least so many.
 MAX_LINE_SHARE, MIN_SHARE_DOCS = 0.1, 5
-#: A document is depleted if less than this share of its words remains.
+#: A document is depleted if less than this share of its words remains, or
+#: fewer than a document must have.
 MIN_LEFT_SHARE = 0.3
 
 
@@ -148,4 +149,4 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", failed.alias("base_failed"),
                       removed_words.alias("removed_words"),
-                      (~failed & (left >= MIN_LEFT_SHARE * F.col("n_words"))).alias("kept"))
+                      (~failed & (left >= MIN_LEFT_SHARE * F.col("n_words")) & (left >= MIN_WORDS)).alias("kept"))

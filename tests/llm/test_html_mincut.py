@@ -87,3 +87,29 @@ def test_text_of_math_and_object_is_read(weights):
            "<p><object data=x>The drawing shows how the parts of the shape fit together, side by side.</object></p></article>"
     got = H.main_text(page, weights)
     assert "bc" in got and "fit together, side by side." in got
+
+
+def test_odd_pages_take_time_in_proportion(weights):
+    """Very many inline tags, very deep pages, and very many blocks that lean
+    either way: twice the page is about twice the time."""
+    import time
+    inline = lambda n: "<article><p>" + "<b>word</b> <i> </i>" * n + "</p></article>"
+    deep = lambda n: "<div>" * n + "<p>A paragraph of the text, far inside.</p>" * 9 + "</div>" * n
+    mixed = lambda n: "<div>" + "<p>A paragraph that goes on, with some words in it.</p><p><a href=x>Menu</a></p>" * n + "</div>"
+    for make, n in ((inline, 25_000), (deep, 25_000), (mixed, 2_500)):
+        spent = []
+        for k in (1, 2):
+            page, began = make(n * k), time.process_time()
+            H.main_text(page, weights)
+            spent.append(time.process_time() - began)
+        assert spent[1] < 20 and spent[1] < 4 * spent[0] + 1, (n, spent)
+    assert H.main_text(inline(50_000), weights).count("word") == 50_000
+
+
+def test_chain_cut_of_many_nodes():
+    import time
+    rnd = random.Random(4)
+    began = time.process_time()
+    costs = [rnd.randint(-500, 500) for _ in range(4000)]
+    kept = H.min_cut(costs, [(i, i + 1, rnd.randint(0, 400)) for i in range(3999)])
+    assert len(kept) == 4000 and time.process_time() - began < 20

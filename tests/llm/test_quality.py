@@ -38,6 +38,35 @@ def test_measures(spark, edge_docs, empty_docs):
     check(spark.createDataFrame([(i, t, "s") for i, t in short], "doc_id long, text string, source string"))
 
 
+def plain_verdicts(rows):
+    """``(base_failed, removed_words, kept)`` of each row ``(text, host)``, in plain Python."""
+    normal = lambda x: re.sub("[0-9]+", "0", re.sub(r"[\x20\x09-\x0D]+", " ", x.lower())).strip(" ")
+    holders, hosts = {}, {}
+    for text, host in rows:
+        hosts.setdefault(host, set()).add(text or "")
+        for x in (text or "").split("\n"):
+            if normal(x):
+                holders.setdefault((host, normal(x)), set()).add(text or "")
+    often = {k for k, v in holders.items() if len(v) >= 20 or len(v) >= 5 and len(v) > 0.1 * len(hosts[k[0]])}
+    out = []
+    for text, host in rows:
+        n, _, _, _, repeated = plain(text)
+        gone = sum(len(normal(x).split(" ")) for x in (text or "").split("\n") if (host, normal(x)) in often)
+        failed = n < 50 or 100 * repeated > 50 * n
+        out.append((failed, gone, not failed and n - gone >= 0.3 * n and n - gone >= 50))
+    return out
+
+
+def test_verdicts_equal_plain_python_and_lines_deplete_documents_of_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = docs.select("doc_id", "text", "source").collect()
+    want = {r["doc_id"]: v for r, v in zip(rows, plain_verdicts([(r["text"], r["source"]) for r in rows]))}
+    got = {r["doc_id"]: (r["base_failed"], r["removed_words"], r["kept"]) for r in quality.judge(docs).collect()}
+    assert got == want
+    depleted = [k for k, (failed, gone, kept) in got.items() if gone and not failed and not kept]
+    assert 0 < len(depleted) < 0.01 * len(got)
+
+
 def test_frequent_lines_deplete_documents(spark):
     rnd = random.Random(4)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
