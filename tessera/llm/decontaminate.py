@@ -9,6 +9,13 @@ of an item are candidates. Repetitions with other bits and positions reach the
 target recall. Every candidate is verified by the exact edit distance of the
 item to the best matching stretch of the document around it.
 
+Distances are in characters, so a word with a typo must not count as another
+word: in each repetition a word's symbol is made of two or three of its
+characters only, at places counted from its beginning or its end, which a typo
+mostly leaves as they are. Windows grow with the item up to half of it (and are
+16 words at most): an edited item has several windows in step with the
+document's, and the shorter ones hold fewer edits.
+
 The benchmark is the query set: it is read in blocks of ``BLOCK_ITEMS`` items,
 and the tables of a block, bounded by it, are broadcast while all documents
 pass. Documents are never shuffled for the search.
@@ -29,13 +36,15 @@ BLOCK_ITEMS = 5_000
 #: A stretch of a document is contaminated by an item if it is at least this
 #: similar: 1 - edit distance / length of the item, in characters.
 SIMILARITY = 0.8
-#: Window words and the stride of the document's windows, for items of at least
-#: window + stride - 1 words. An item has a window at each of its words, so a
-#: verbatim copy always has a window in step with one of them.
-WINDOWS = ((32, 8), (16, 8), (8, 4), (4, 1), (2, 1), (1, 1))
-#: Repetitions and sampled positions; of windows with a tenth of the words
-#: changed a single repetition finds about half.
+#: Least words of an item, words of its windows, stride of the document's
+#: windows, characters that make a symbol (0: the whole word), and its bits. An
+#: item has a window at each of its words, so a verbatim copy always has a window
+#: in step with one of them.
+CLASSES = ((40, 16, 8, 2, 12), (16, 8, 4, 2, 12), (8, 4, 2, 2, 12), (4, 4, 1, 2, 12), (2, 2, 1, 3, 16), (1, 1, 1, 0, 20))
+#: Repetitions, and sampled positions of each.
 REPEATS, SAMPLED = 16, 5
+#: Characters of a word that symbols are made of, and places from either end.
+SPELLED, PLACES = 24, 4
 SEED = 20240501
 CHUNK_WORDS = 300_000
 WORD = re.compile(r"[^\W_]+")
@@ -73,9 +82,30 @@ def edit_distance_within(item: str, text: str) -> int:
     return best
 
 
-def window_of(n: int) -> tuple[int, int]:
-    """Window and stride for an item of ``n`` words."""
-    return next((w, s) for w, s in WINDOWS if n >= w + s - 1)
+def class_of(n: int) -> tuple[int, int, int, int, int]:
+    """The class of an item of ``n`` words."""
+    return next(c for c in CLASSES if n >= c[0])
+
+
+class Spelling:
+    """The characters of distinct words, as arrays."""
+
+    def __init__(self, names: list[str]):
+        self.codes = np.array(names, dtype=f"U{SPELLED}").reshape(-1).view(np.uint32).reshape(len(names), SPELLED) \
+            if names else np.zeros((0, SPELLED), np.uint32)
+        self.last = np.fromiter((min(len(w), SPELLED) - 1 for w in names), np.int64, len(names))
+
+    def symbols(self, picks: list[tuple[bool, int]], bits: int) -> np.ndarray:
+        """The symbol of each word, from 1, after 0 for no word: a hash of the
+        characters at ``picks`` (from the end or the beginning, and how far in);
+        without any, of all."""
+        rows, h = np.arange(len(self.last)), np.zeros(len(self.last), np.uint64)
+        places = [np.maximum(self.last - j, 0) if end else np.minimum(j, self.last) for end, j in picks] or \
+            [np.full(len(rows), j) for j in range(SPELLED)]
+        for at in places:
+            h = (h + self.codes[rows, at].astype(np.uint64) + np.uint64(1)) * MIX
+            h ^= h >> np.uint64(29)
+        return np.concatenate(([0], (h >> np.uint64(64 - bits)).astype(np.int32) + 1)).astype(np.int32)
 
 
 def compile_items(items: list[tuple[int, str | None]]) -> dict:
@@ -86,35 +116,39 @@ def compile_items(items: list[tuple[int, str | None]]) -> dict:
         if ws:
             ids_of[tuple(ws)].append(item_id)
     texts = sorted(ids_of)
-    symbol = {w: n for n, w in enumerate(sorted({w for t in texts for w in t}), 1)}
+    names = sorted({w for t in texts for w in t})
+    number, spelling = {w: n for n, w in enumerate(names, 1)}, Spelling(names)
     rng, classes = np.random.Generator(np.random.PCG64(SEED)), []
-    for window, stride in WINDOWS:
-        members = [k for k, t in enumerate(texts) if window_of(len(t)) == (window, stride)]
+    for kind in CLASSES:
+        _, window, stride, spelled, bits = kind
+        members = [k for k, t in enumerate(texts) if class_of(len(t)) == kind]
         if not members:
             continue
         steps = 2 * window
         rows, where = [], []
         for k in members:
-            s = [symbol[w] for w in texts[k]]
+            s = [number[w] for w in texts[k]]
             for o in range(len(s) - window + 1):
                 rows.append(s[o:o + window])
                 where.append((k, o))
         flat = np.concatenate([np.array([*r, *[0] * steps]) for r in rows]).astype(np.int64)
         starts = np.arange(len(rows), dtype=np.int64) * (window + steps)
         repeats = []
-        for _ in range(REPEATS):
-            moves = rng.integers(0, 2, (steps, len(symbol) + 1), dtype=np.int8)
+        for _ in range(REPEATS if spelled else 1):
+            moves = rng.integers(0, 2, (steps, (1 << bits) + 1), dtype=np.int8)
             # one position of each stratum of the output, so that no word decides alone
             n = min(SAMPLED, window)
             sampled = np.array([int(rng.integers(steps * i // n, steps * (i + 1) // n))
                                 for i in range(n)]) if window > 1 else np.array([0])
-            keys, _, gates = _walk(flat, starts, moves, sampled, None, window)
+            places = rng.choice(2 * PLACES, spelled, replace=False).tolist()
+            picks = [(p >= PLACES, p % PLACES) for p in places]
+            keys, _, gates = _walk(spelling.symbols(picks, bits)[flat], starts, moves, sampled, None, window)
             order = np.argsort(keys, kind="stable")
-            repeats.append({"moves": moves, "sampled": sampled, "gates": gates,
+            repeats.append({"moves": moves, "sampled": sampled, "gates": gates, "picks": picks,
                             "keys": keys[order], "rows": order})
-        classes.append({"window": window, "stride": stride, "repeats": repeats,
+        classes.append({"window": window, "stride": stride, "bits": bits, "repeats": repeats,
                         "where": np.array(where, np.int64)})
-    return {"symbol": symbol, "classes": classes, "words": texts,
+    return {"classes": classes, "words": texts,
             "texts": [" ".join(t) for t in texts], "ids": [ids_of[t] for t in texts]}
 
 
@@ -166,13 +200,14 @@ def find(tables: dict, texts: list[str | None]) -> list[tuple[int, int, int]]:
 
 
 def _find(tables: dict, chunk: list[tuple[int, list[str]]]) -> list[tuple[int, int, int]]:
-    get = tables["symbol"].get
-    gap = 2 * WINDOWS[0][0]
+    gap = 2 * CLASSES[0][1]
+    number: dict[str, int] = {}
     lengths = np.array([len(ws) for _, ws in chunk], np.int64)
     first = np.concatenate(([0], np.cumsum(lengths + gap)[:-1]))
-    symbols = np.zeros(int(lengths.sum()) + gap * len(chunk), np.int32)
+    numbers = np.zeros(int(lengths.sum()) + gap * len(chunk), np.int32)
     for (_, ws), at in zip(chunk, first.tolist()):
-        symbols[at:at + len(ws)] = np.fromiter((get(w, 0) for w in ws), np.int32, len(ws))
+        numbers[at:at + len(ws)] = np.fromiter((number.setdefault(w, len(number) + 1) for w in ws), np.int32, len(ws))
+    spelling = Spelling(list(number))
     seeds: set[tuple[int, int, int]] = set()
     for c in tables["classes"]:
         stride = c["stride"]
@@ -181,6 +216,7 @@ def _find(tables: dict, chunk: list[tuple[int, list[str]]]) -> list[tuple[int, i
         place = (np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
         starts = first[doc] + place
         for r in c["repeats"]:
+            symbols = spelling.symbols(r["picks"], c["bits"])[numbers]
             keys, live, _ = _walk(symbols, starts, r["moves"], r["sampled"], r["gates"], c["window"])
             lo = np.searchsorted(r["keys"], keys, "left")
             hi = np.searchsorted(r["keys"], keys, "right")

@@ -51,6 +51,40 @@ def test_recall_of_edited_plants(spark):
     assert len(got & want) >= 0.9 * len(want) > 100
 
 
+def test_recall_of_each_sort_of_edit_at_each_length():
+    """Items of each length class between other words, edited in one way; counted
+    where the exact distance is within the limit."""
+    rnd = random.Random(11)
+    letters = "abcdefghiklmnoprstuvwy"
+    word = lambda: "".join(rnd.choice(letters) for _ in range(rnd.randint(3, 9)))
+    common = ["the", "of", "and", "to", "in", "that", "is", "was"]
+
+    def typo(w):
+        at = rnd.randrange(len(w))
+        return rnd.choice([w[:at] + rnd.choice("xzq") + w[at + 1:], w[:at] + w[at + 1:] or "x", w[:at] + "x" + w[at:]])
+    edits = {
+        "typo in each 3rd word": lambda t: [typo(w) if i % 3 == 2 else w for i, w in enumerate(t)],
+        "typo in each 2nd word": lambda t: [typo(w) if i % 2 else w for i, w in enumerate(t)],
+        "20 % replaced": lambda t: [word() if rnd.random() < 0.2 else w for w in t],
+        "10 % left out": lambda t: [w for w in t if rnd.random() >= 0.1],
+    }
+    low = {}
+    for n in (5, 8, 11, 16, 23, 32, 39, 40, 59, 80):
+        items = [(i, " ".join(rnd.choice(common) if rnd.random() < 0.3 else word() for _ in range(n))) for i in range(60)]
+        tables = D.compile_items(items)
+        for name, edit in edits.items():
+            texts = []
+            for t in tables["words"]:
+                pad = [word() for _ in range(rnd.randrange(40))]
+                texts.append(" ".join([*pad, *edit(list(t)), *pad]))
+            want = {(k, k) for k, x in enumerate(texts) if D.edit_distance_within(tables["texts"][k], x) <= 0.2 * len(tables["texts"][k])}
+            got = {(d, k) for d, k, _ in D.find(tables, texts)}
+            if len(want) >= 10:
+                low[n, name] = (len(got & want), len(want))
+    print({k: f"{a}/{b}" for k, (a, b) in low.items()})
+    assert len(low) >= 30 and all(a >= 0.9 * b for a, b in low.values()), {k: v for k, v in low.items() if v[0] < 0.9 * v[1]}
+
+
 def test_short_and_long_items():
     long_item = " ".join(f"w{i}" for i in range(700))
     tables = D.compile_items([(1, "one"), (2, "two words"), (3, long_item), (4, None), (5, ""), (6, "ONE")])
