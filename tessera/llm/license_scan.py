@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tessera.llm.util import ascii_lower
+from tessera.llm.util import ascii_lower, stored
 
 #: What does not belong to a word, in lower-cased text and in text as it is.
 BREAKS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -221,8 +221,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                        F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
                        .alias("n_words"),
                        F.when(gated(text), normal(text)).otherwise(F.lit("  ")).alias("norm"))
-    found = detections(source.where(gated(text)).select(
-        "doc_id", F.xxhash64("text").alias("row"), normal(text).alias("norm")))
+    rows = stored(rows, "license-texts")  # read twice; most texts hold no keyword and are left blank
+    found = detections(rows.where("norm <> '  '").select("doc_id", "row", "norm"))
     found = found.groupBy("doc_id", "row").agg(F.collect_set("label").alias("_labels"),
                                                F.max("weight").alias("_weight"))
     base = _base(F.col("norm"), F.col("n_words"))

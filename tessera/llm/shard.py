@@ -21,7 +21,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tessera.llm.util import cut, shared_root
+from tessera.llm.util import cut, fresh, shared_root
 
 SHARDS, SEED = 16, 42
 #: Text bytes of a bucket, on average: what one task shuffles in memory.
@@ -48,12 +48,22 @@ def _bucket(doc_id: Column, text: Column, buckets: int, seed: int) -> Column:
                   F.lit(buckets)).cast("int")
 
 
+def names_of(columns: list[str]) -> tuple[str, str, str]:
+    """The columns that shards add, ``_shard``, ``_bucket`` and ``_place``, with more
+    underscores where records have a column of the name."""
+    taken = {c.lower() for c in columns}
+
+    def free(name: str) -> str:
+        return free("_" + name) if name in taken else name
+    return free("_shard"), free("_bucket"), free("_place")
+
+
 def write_shards(docs: DataFrame, path: str | None = None, shards: int = SHARDS, seed: int = SEED,
                  bucket_bytes: int = BUCKET_BYTES, id_col: str = "doc_id",
                  text_col: str = "text") -> str:
     """Shuffle ``docs`` into ``path/_shard=N`` and return the path (a new one
     in the shared folder if none is given). All columns are kept; added are
-    ``_bucket`` and ``_place``.
+    ``_bucket`` and ``_place`` (see :func:`names_of`).
 
     The same rows give the same files whatever their order: a bucket is put in
     the order of its ids and texts before it is shuffled. Null ids count as
@@ -64,9 +74,10 @@ def write_shards(docs: DataFrame, path: str | None = None, shards: int = SHARDS,
     path = path or f"{shared_root(spark)}/shards-{uuid.uuid4().hex[:12]}"
     total = docs.agg(F.sum(size_of(F.col(text_col)))).first()[0] or 0
     buckets = max(1, math.ceil(total / (shards * bucket_bytes)))
-    rows = docs.select("*", shard_of(F.col(id_col), shards, seed).alias("_shard"),
-                       _bucket(F.col(id_col), F.col(text_col), buckets, seed).alias("_bucket"))
-    schema = StructType([*rows.schema.fields, StructField("_place", LongType())])
+    in_shard, in_bucket, in_place = names_of(docs.columns)
+    rows = docs.select("*", shard_of(F.col(id_col), shards, seed).alias(in_shard),
+                       _bucket(F.col(id_col), F.col(text_col), buckets, seed).alias(in_bucket))
+    schema = StructType([*rows.schema.fields, StructField(in_place, LongType())])
     names = rows.columns
 
     def shuffled(key: tuple, bucket: pa.Table) -> pa.Table:
@@ -75,31 +86,34 @@ def write_shards(docs: DataFrame, path: str | None = None, shards: int = SHARDS,
         rng = np.random.Generator(np.random.PCG64([seed, key[0].as_py(), key[1].as_py()]))
         places = rng.permutation(bucket.num_rows)  # numpy's permutation is a Fisher-Yates shuffle
         out = bucket.take(pa.array(places)).select(names)
-        return out.append_column("_place", pa.array(np.arange(bucket.num_rows), pa.int64()))
+        return out.append_column(in_place, pa.array(np.arange(bucket.num_rows), pa.int64()))
 
-    rows = rows.repartition(shards * buckets, "_shard", "_bucket")  # as many tasks as buckets
-    rows.groupBy("_shard", "_bucket").applyInArrow(shuffled, schema) \
-        .write.partitionBy("_shard").parquet(path)
+    rows = rows.repartition(shards * buckets, in_shard, in_bucket)  # as many tasks as buckets
+    rows.groupBy(in_shard, in_bucket).applyInArrow(shuffled, schema) \
+        .write.partitionBy(in_shard).parquet(path)
     return path
 
 
 def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The written records, with the columns of ``schema`` (those of the
-    documents), ``_shard``, ``_bucket`` and ``_place``."""
+    documents), ``_shard``, ``_bucket`` and ``_place`` (see :func:`names_of`)."""
+    in_shard, in_bucket, in_place = names_of(schema.names)
     return spark.read.schema(StructType([
-        *schema.fields, StructField("_bucket", IntegerType()), StructField("_place", LongType()),
-        StructField("_shard", IntegerType())])).parquet(path)
+        *schema.fields, StructField(in_bucket, IntegerType()), StructField(in_place, LongType()),
+        StructField(in_shard, IntegerType())])).parquet(path)
 
 
-def with_slots(rows: DataFrame) -> DataFrame:
-    """Written records with ``_slot``, gapless from 0 in each shard, in place
-    of ``_bucket`` and ``_place``. The offsets are one row for each bucket,
+def with_slots(rows: DataFrame, names: tuple[str, str, str] = ("_shard", "_bucket", "_place")) -> DataFrame:
+    """Written records with their slot, gapless from 0 in each shard, as ``_slot``
+    in place of bucket and place. The offsets are one row for each bucket,
     broadcast up to a bound; select what is needed before, since beyond the
     bound the rows are shuffled."""
-    sizes = rows.groupBy("_shard", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("_shard").orderBy("_bucket")) - F.col("_n")
-    offsets = cut(sizes.select("_shard", "_bucket", before.alias("_before")))
+    in_shard, in_bucket, in_place = names
+    before_, slot = (fresh(rows, c) for c in ("_before", "_slot"))
+    sizes = rows.groupBy(in_shard, in_bucket).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(in_shard).orderBy(in_bucket)) - F.col("_n")
+    offsets = cut(sizes.select(in_shard, in_bucket, before.alias(before_)))
     offsets = F.broadcast(offsets) if offsets.count() <= BROADCAST_BUCKETS else offsets
-    return rows.join(offsets, ["_shard", "_bucket"]) \
-        .withColumn("_slot", (F.col("_before") + F.col("_place")).cast("bigint")) \
-        .drop("_bucket", "_place", "_before")
+    return rows.join(offsets, [in_shard, in_bucket]) \
+        .withColumn(slot, (F.col(before_) + F.col(in_place)).cast("bigint")) \
+        .drop(in_bucket, in_place, before_)
