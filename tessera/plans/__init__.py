@@ -63,9 +63,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "length_profile": training.length_profile,
     "length_bins": training.length_bins,
     "length_sketch": training.length_sketch,
+    "near_copy_members": training.near_copy_members,
+    "near_copy_pairs": training.near_copy_pairs,
     # files: streams and the JSON Lines round trip
     "stream_manifest": streams.stream_manifest,
     "stream_dedup": streams.stream_dedup,
+    "stream_dedup_watermark": streams.stream_dedup_watermark,
+    "stream_file_manifest": streams.stream_file_manifest,
     "jsonl_file_manifest": streams.jsonl_file_manifest,
     # the flat layout and its audit
     "flat_corpus_manifest": files.flat_corpus_manifest,

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from tessera.functions.text import template_parts
 from tessera.model import ANSWER_TEMPLATE
+from tessera.operators.nearcopy import SHINGLE, SIMILARITY
 from tessera.plans.corpus import CAP_PER_GROUP, LANG_ORDER, MIN_ENTRIES_TO_LOAD
 from tessera.plans.curation import RELEASED_SOURCE, TOKEN_BUDGET, VALIDATION_PERCENT
 from tessera.plans.files import BLANK, CUT, TURNED, UNGROUPED
+from tessera.plans.streams import REMOVED_SOURCE, REWRITTEN_LANG
 from tessera.plans.synthesis import SECTIONS, SYNTH_TEMPLATES
 from tessera.plans.training import (BAND, BIN_WIDTH, BYTE_SHARDS, MIXTURE, PACK_BUDGET, PACK_SHARDS, PROBS)
 
@@ -425,6 +427,18 @@ SELECT lang AS skill, count(*) AS entries, min(tokens) AS least, max(tokens) AS
        avg(CASE WHEN tokens BETWEEN {BAND[0]} AND {BAND[1]} THEN 1 ELSE 0 END) AS in_band, {marks} FROM {tokens} GROUP BY lang""",
         "length_bins": f"""
 SELECT lang AS skill, CAST(tokens // {BIN_WIDTH} * {BIN_WIDTH} AS BIGINT) AS bin, count(*) AS entries FROM {tokens} GROUP BY 1, 2""",
+        "near_copy_members": """
+SELECT doc_id, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS class FROM documents""",
+        "near_copy_pairs": f"""
+WITH d AS (SELECT min(doc_id) AS id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+           FROM documents GROUP BY text),
+s AS (SELECT id, list_distinct(list_transform(range(1, greatest(len(w) - {SHINGLE}, 0) + 2),
+        lambda i: array_to_string(w[i:i + {SHINGLE} - 1], ' '))) AS s FROM d WHERE len(w) > 0),
+e AS (SELECT id, len(s) AS n, unnest(s) AS x FROM s),
+p AS (SELECT a.id AS a, b.id AS b, count(*) AS shared, any_value(a.n + b.n) AS total
+      FROM e a JOIN e b ON a.x = b.x AND a.id < b.id GROUP BY 1, 2)
+SELECT a, b, CAST(shared AS INTEGER) AS shared, round(shared / (total - shared), 6) AS similarity
+FROM p WHERE shared >= {SIMILARITY} * (total - shared) - 1e-9""",
         "length_sketch": f"""
 SELECT lang AS skill, p, count(*) AS entries, true AS within
 FROM documents, (SELECT CAST(unnest({list(PROBS)}) AS DOUBLE) AS p) GROUP BY lang, p""",
@@ -449,6 +463,12 @@ SELECT skill, subtopic, entries AS loaded, chars FROM (
     }
     # The streaming manifest must equal the batch manifest.
     q["stream_manifest"] = q["corpus_manifest"]
+    q["stream_dedup_watermark"] = "SELECT DISTINCT user_id, event_type FROM events"
+    q["stream_file_manifest"] = f"""
+SELECT skill || '__' || subtopic || '.jsonl' AS file, skill, subtopic, count(*) AS entries,
+       CAST(sum(strlen(whole) + 1) AS BIGINT) AS bytes, CAST(sum(chars + asked) // 4 AS BIGINT) AS approx_tokens
+FROM (SELECT *, row_number() OVER (PARTITION BY skill, subtopic, md5(whole) ORDER BY 1) AS rn FROM ({_flat_lines()}))
+WHERE subtopic <> '{REMOVED_SOURCE}' AND (skill <> '{REWRITTEN_LANG}' OR rn = 1) GROUP BY skill, subtopic"""
     q["stream_dedup"] = "SELECT DISTINCT lang, source, md5(text) AS text_md5 FROM documents"
     q["jsonl_file_manifest"] = q["chat_manifest"]
     return q

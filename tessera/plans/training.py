@@ -1,5 +1,6 @@
 """Queries that prepare a corpus for training: packing, mixture sampling, byte
-shards, length profiles, and the diversity audit of a generation."""
+shards, length profiles, the near-copy audit of answers and the diversity audit
+of a generation."""
 
 from __future__ import annotations
 
@@ -7,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.radix import decode
-from tessera.operators import diversity, mixture, pack, profile
+from tessera.operators import diversity, mixture, nearcopy, pack, profile
 from tessera.plans import synthesis
 from tessera.session import stored
 from tessera.sources.tables import table
@@ -71,6 +72,17 @@ def length_sketch(spark: SparkSession, root: str) -> DataFrame:
     return found.join(checked, ["skill", "p", "value"]).select("skill", "p", "entries", within.alias("within"))
 
 
+def near_copy_members(spark: SparkSession, root: str) -> DataFrame:
+    """The class of equal answers that each document's answer is in."""
+    return nearcopy.members(table(spark, root, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+def near_copy_pairs(spark: SparkSession, root: str) -> DataFrame:
+    """The classes of answers that are near copies of each other."""
+    found = nearcopy.near_copies(table(spark, root, "documents", "doc_id", "text"), "doc_id", "text")
+    return found.select("a", "b", "shared", F.round("similarity", 6).alias("similarity"))
+
+
 def _generated(spark: SparkSession, root: str):
     """Positions of the kept entries of the customers' corpus, and the grid's sizes."""
     grid = synthesis.grid(spark, root)

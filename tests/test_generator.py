@@ -1,7 +1,9 @@
 import json
 import random
+from array import array
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +103,32 @@ def test_generated_entries(spark):
         assert r["answer"].split("|")[4] == ["e1", "e2", "e3", "e4"][r["idx"] % 4]
 
 
+def test_many_groups_of_many_patterns(spark, monkeypatch):
+    """Groups share patterns; the broadcast of the plans and the shares beyond it
+    give what a walk of each group gives."""
+    rnd = random.Random(7)
+    kinds = [[rnd.choice([None, *range(n)]) for _ in range(30)] for n in (1, 4, 12, 40)] + [[None] * 30]
+    groups = {f"g{g}": kinds[0 if g % 2 else rnd.randrange(5)] for g in range(40)}
+    rows = [(g, i, None if k is None else f"{g}-{k}") for g, ks in groups.items() for i, k in enumerate(ks)]
+    df = spark.createDataFrame(rows, "grp string, idx long, key string").repartition(5)
+    want = sorted((g, i) for g, ks in groups.items() for i in dedup._walk(ks, 9, 70, 30))
+    for bound in (0, 10 ** 6):
+        monkeypatch.setattr(dedup, "BROADCAST_PLANS", bound)
+        assert sorted(map(tuple, dedup.visit_plan(df, ["grp"], 9, 70, period=30).collect())) == want
+
+
+def test_a_period_of_five_million(spark):
+    """A long period streams into one array; half of the indices repeat the others."""
+    period = 5_000_000
+    keyed = spark.range(period).selectExpr("'g' grp", "id idx", f"cast(id % {period // 2} as string) key")
+    got = dedup.visit_plan(keyed, ["grp"], period, 2 * period, period=period)
+    classes = array("i", (i % (period // 2) for i in range(period)))
+    want = dedup._walk_classes(classes, period, 2 * period, period)
+    row = got.selectExpr("count(*) n", "sum(idx) s", "bit_xor(idx) x").first()
+    assert (row["n"], row["s"], row["x"]) == (len(want), sum(want), int(np.bitwise_xor.reduce(np.array(want))))
+    assert len(want) == period // 2
+
+
 def test_dimensions_from_tables_equal_listed_ones(spark):
     groups = spark.createDataFrame(DEFS, DEFINITION)
     cols = ["skill", "subtopic", "idx", "prompt", "answer", "line", "chars", "line_bytes"]
