@@ -40,7 +40,7 @@ SIMILARITY = 0.8
 #: windows, characters that make a symbol (0: the whole word), and its bits. An
 #: item has a window at each of its words, so a verbatim copy always has a window
 #: in step with one of them.
-CLASSES = ((40, 16, 8, 2, 12), (16, 8, 4, 2, 12), (8, 4, 2, 2, 12), (4, 4, 1, 2, 12), (2, 2, 1, 3, 16), (1, 1, 1, 0, 20))
+CLASSES = ((40, 16, 4, 3, 16), (16, 8, 4, 3, 16), (8, 4, 2, 3, 16), (4, 4, 1, 3, 16), (2, 2, 1, 3, 16), (1, 1, 1, 0, 20))
 #: Repetitions, and sampled positions of each.
 REPEATS, SAMPLED = 16, 5
 #: Characters of a word that symbols are made of, and places from either end.
@@ -82,6 +82,71 @@ def edit_distance_within(item: str, text: str) -> int:
     return best
 
 
+#: Bits of a limb of the vectors below, and pairs of a batch.
+LIMB, BATCH = 60, 2048
+
+
+def edit_distances_within(pairs: list[tuple[str, str]]) -> list[int]:
+    """:func:`edit_distance_within` of each pair, many at a time: the bit vectors
+    of a batch are rows of limbs."""
+    out = [0] * len(pairs)
+    rest = [i for i, (item, text) in enumerate(pairs) if item and item not in text]
+    rest.sort(key=lambda i: (-(-len(pairs[i][0]) // LIMB), len(pairs[i][1])))
+    at = 0
+    while at < len(rest):
+        limbs = -(-len(pairs[rest[at]][0]) // LIMB)
+        some = [i for i in rest[at:at + BATCH] if -(-len(pairs[i][0]) // LIMB) == limbs]
+        for i, v in zip(some, _distances([pairs[i] for i in some], limbs)):
+            out[i] = v
+        at += len(some)
+    return out
+
+
+def _distances(pairs: list[tuple[str, str]], limbs: int) -> list[int]:
+    """Distances of pairs whose items have as many limbs."""
+    n, longest = len(pairs), max(len(t) for _, t in pairs)
+    letters = np.array(sorted({ord(c) for item, _ in pairs for c in item}), np.uint32)
+    code = {chr(c): k for k, c in enumerate(letters, 1)}
+    number = {item: k for k, item in enumerate(dict.fromkeys(item for item, _ in pairs))}
+    table = np.zeros((len(number), len(code) + 1, limbs), np.int64)
+    for item, k in number.items():
+        for i, c in enumerate(item):
+            table[k, code[c], i // LIMB] |= 1 << (i % LIMB)
+    which = np.array([number[item] for item, _ in pairs])
+    size = np.array([len(item) for item, _ in pairs])
+    ends = np.array([len(t) for _, t in pairs])
+    codes = np.zeros((longest, n), np.int64)
+    for b, (_, t) in enumerate(pairs):
+        points = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+        k = np.minimum(np.searchsorted(letters, points), len(letters) - 1)
+        codes[:len(t), b] = np.where(letters[k] == points, k + 1, 0)
+    bits = np.clip(size[:, None] - LIMB * np.arange(limbs), 0, LIMB)
+    full = np.left_shift(1, bits) - 1
+    rows, last, top, mask = np.arange(n), (size - 1) // LIMB, (size - 1) % LIMB, (1 << LIMB) - 1
+    up, down = full.copy(), np.zeros((n, limbs), np.int64)
+    now, best = size.copy(), size.copy()
+
+    def moved(x: np.ndarray) -> np.ndarray:
+        y = (x << 1) & mask
+        y[:, 1:] |= x[:, :-1] >> (LIMB - 1)
+        return y & full
+
+    for j in range(longest):
+        eq = table[which, codes[j]]
+        total = (eq & up) + up
+        for w in range(limbs - 1):
+            total[:, w + 1] += total[:, w] >> LIMB
+        diagonal = ((total & mask) ^ up) | eq | down
+        right = down | ~(diagonal | up) & full
+        left = up & diagonal
+        now += (right[rows, last] >> top & 1) - (left[rows, last] >> top & 1)
+        best = np.where((j < ends) & (now < best), now, best)
+        right, left = moved(right), moved(left)
+        up = left | ~(diagonal | right) & full
+        down = right & diagonal
+    return best.tolist()
+
+
 def class_of(n: int) -> tuple[int, int, int, int, int]:
     """The class of an item of ``n`` words."""
     return next(c for c in CLASSES if n >= c[0])
@@ -220,23 +285,25 @@ def _find(tables: dict, chunk: list[tuple[int, list[str]]]) -> list[tuple[int, i
             keys, live, _ = _walk(symbols, starts, r["moves"], r["sampled"], r["gates"], c["window"])
             lo = np.searchsorted(r["keys"], keys, "left")
             hi = np.searchsorted(r["keys"], keys, "right")
-            for n in np.flatnonzero(hi > lo).tolist():
-                d, p = int(doc[live[n]]), int(place[live[n]])
-                for row in r["rows"][lo[n]:hi[n]].tolist():
-                    k, o = c["where"][row].tolist()
-                    seeds.add((d, k, p - o))
-    best: dict[tuple[int, int], int] = {}
+            n = hi - lo
+            at = np.repeat(np.arange(len(n)), n)
+            row = r["rows"][np.repeat(lo - np.cumsum(n) + n, n) + np.arange(len(at))]
+            k, o = c["where"][row].T
+            seeds.update(zip(doc[live[at]].tolist(), k.tolist(), (place[live[at]] - o).tolist()))
     reached: dict[tuple[int, int], int] = {}
+    tried: list[tuple[int, int]] = []
+    pairs: list[tuple[str, str]] = []
     for d, k, start in sorted(seeds):
-        n, item = len(tables["words"][k]), tables["texts"][k]
+        if (d, k) in reached and start <= reached[d, k]:
+            continue  # the stretch around an earlier seed takes this one in
+        n, ws = len(tables["words"][k]), chunk[d][1]
         slack = n // 4 + 2
-        if best.get((d, k)) == 0 or (d, k) in reached and start <= reached[d, k]:
-            continue  # the stretch around an earlier seed took this one in
-        ws = chunk[d][1]
-        stretch = " ".join(ws[max(0, start - slack):max(0, start + n + 2 * slack)])
         reached[d, k] = start + slack // 2
-        distance = edit_distance_within(item, stretch)
-        if distance <= math.floor((1 - SIMILARITY) * len(item) + 1e-9):
+        tried.append((d, k))
+        pairs.append((tables["texts"][k], " ".join(ws[max(0, start - slack):max(0, start + n + 2 * slack)])))
+    best: dict[tuple[int, int], int] = {}
+    for (d, k), distance in zip(tried, edit_distances_within(pairs)):
+        if distance <= math.floor((1 - SIMILARITY) * len(tables["texts"][k]) + 1e-9):
             best[d, k] = min(distance, best.get((d, k), distance))
     return [(chunk[d][0], k, v) for (d, k), v in best.items()]
 

@@ -24,6 +24,18 @@ def test_edit_distance():
         assert D.edit_distance_within(a, b) == plain_distance(a, b)
 
 
+def test_many_edit_distances_at_a_time():
+    rnd = random.Random(5)
+    text = lambda n: "".join(rnd.choice("abcd é") for _ in range(n))
+    pairs = []
+    for _ in range(900):
+        item = text(rnd.choice([1, 3, 59, 60, 61, 119, 120, 121, 200]))
+        other = "".join(c for c in item if rnd.random() < 0.9) if rnd.random() < 0.6 else text(rnd.randint(0, 80))
+        pairs.append((item, text(rnd.randint(0, 30)) + other + text(rnd.randint(0, 30))))
+    pairs += [("", "x"), ("x", ""), ("abc" * 50, "")]
+    assert D.edit_distances_within(pairs) == [D.edit_distance_within(*p) for p in pairs]
+
+
 def test_verbatim_copies_are_all_found_and_clean_texts_left(spark):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF01}/benchmark.parquet").collect()]
     docs = [r["text"] for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()]
