@@ -36,6 +36,18 @@ def test_sink_scan_round_trip(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(skill" in plan
 
 
+def test_compressed_corpus_has_the_same_manifest(spark, tmp_dir):
+    ent = _entries(spark).unionByName(_entries(spark).crossJoin(spark.range(200)).drop("id"))
+    plain, packed = os.path.join(tmp_dir, "plain"), os.path.join(tmp_dir, "packed")
+    write_corpus(ent, plain)
+    write_corpus(ent, packed, compression="gzip")
+    a = {r["file"]: tuple(r) for r in file_manifest(scan_chat(spark, plain, layout="hive"), list_files(spark, plain, layout="hive")).collect()}
+    b = {r["file"]: tuple(r) for r in file_manifest(scan_chat_lines(spark, packed, layout="hive"), list_files(spark, packed, layout="hive")).collect()}
+    assert a == b
+    lying = [list_files(spark, p, layout="hive").agg(F.sum("file_size")).first()[0] for p in (plain, packed)]
+    assert 10 * lying[1] < lying[0]
+
+
 def test_flat_layout_skips_index_and_odd_files(spark, tmp_dir):
     d = os.path.join(tmp_dir, "flat")
     os.makedirs(d)
