@@ -11,6 +11,7 @@ import golden
 from tessera.model import DEFINITION
 from tessera.operators import dedup, synth
 from tessera.operators.manifest import chat_manifest, measured_manifest
+from tessera.plans.synthesis import SECTION, section_pattern
 
 GRID = synth.Grid(audiences=["a0", "a1", "a2"], perspectives=["p0", "p1"], formats=["f0", "f1"],
                   templates=["T {topic} {audience} {perspective} {fmt}",
@@ -103,6 +104,52 @@ def test_generated_entries(spark):
         assert r["answer"].split("|")[4] == ["e1", "e2", "e3", "e4"][r["idx"] % 4]
 
 
+def test_runs_hold_every_index(spark):
+    rows = [("s", "t", i) for i in (0, 1, 63, 64, 5_000_000_000, 5_000_000_063)] + [("s", "u", 7), ("s", None, 127)]
+    runs = synth.index_runs(spark.createDataFrame(rows, "skill string, subtopic string, idx long"))
+    assert runs.count() == 5
+    back = synth.run_indices(runs).select("skill", "subtopic", "idx").collect()
+    assert sorted(map(str, map(tuple, back))) == sorted(map(str, rows))
+
+
+def test_measures_are_compiled(spark, capsys):
+    """The JVM leaves methods of more than 8000 bytes to its interpreter."""
+    groups = spark.createDataFrame(DEFS, DEFINITION)
+    kept = spark.createDataFrame([(s, t, 3) for s, t, *_ in DEFS], "skill string, subtopic string, idx long")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        measured_manifest(synth.entries_at(groups, kept, synth.Grid())).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x.split(";")[0]) for x in capsys.readouterr().out.split("maxMethodCodeSize:")[1:]]
+    assert sizes and max(sizes) < 8000
+
+
+def test_walk_sorts_by_a_number(spark):
+    keyed = spark.createDataFrame([("s", "t", i, f"k{i % 3}") for i in range(9)], "skill string, subtopic string, idx long, key string")
+    seen = []
+    keep, dedup.stored = dedup.stored, lambda df, name: seen.append(df) or keep(df, name)
+    try:
+        got = dedup.visit_plan(keyed, ["skill", "subtopic"], 9, 45).select("idx").collect()
+    finally:
+        dedup.stored = keep
+    assert sorted(r["idx"] for r in got) == dedup._walk([f"k{i % 3}" for i in range(9)], 9, 45)
+    assert "xxhash64" in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_section_pattern_equals_titles_and_bodies(spark):
+    names = ["One", "Two b"]
+    texts = [a + b + c + d for a in ("", "x ", "**y** ", "* ** z", "**q.** ") for b in ("**One.**", "**One**", "***One.**", "**One.***")
+             for c in ("", "  ", " \n", "text *s* ", " **u**. v ") for d in ("**Two b.** end", "**Two b.**", "**Two b.**  ", "**One.** e", "**Two b.** t **")]
+    df = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "t string")
+    titles = F.regexp_extract_all("t", F.lit(SECTION), F.lit(1))
+    bodies = F.slice(F.split("t", SECTION.replace("(", "(?:")), 2, 1000)
+    plain = (titles == F.array(*[F.lit(t) for t in names])) & F.forall(bodies, lambda b: F.trim(b) != "")
+    got = df.select("t", plain.alias("a"), F.rlike("t", F.lit(section_pattern(names))).alias("b")).collect()
+    assert [r["t"] for r in got if bool(r["a"]) != bool(r["b"])] == []
+    assert {bool(r["b"]) for r in got} == {True, False}
+
+
 def test_many_groups_of_many_patterns(spark, monkeypatch):
     """Groups share patterns; the broadcast of the plans and the shares beyond it
     give what a walk of each group gives."""
