@@ -1,8 +1,8 @@
 """Diversity audit: which combinations of the dimensions are present, which of
 the possible ones are missing, and how evenly the entries are spread.
 
-One aggregation with grouping sets counts the cells of every dimension and of
-every pair of dimensions. Possible cells are the positions of the grid; missing
+The entries of every position are counted first; one aggregation with grouping
+sets sums them up to the cells of every dimension and of every pair. Possible cells are the positions of the grid; missing
 ones are found by an anti-join.
 """
 
@@ -32,8 +32,10 @@ def cells(rows: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
     that is not in ``dims`` is -1. ``rows`` has a position for each dimension."""
     names = list(sizes)
     sets = lattice(sizes)
-    grouped = rows.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in names]) \
-        .agg(F.count(F.lit(1)).alias("n"), F.grouping_id(*names).alias("gid"))
+    # every position is counted once before the grouping sets repeat the rows
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    grouped = counted.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in names]) \
+        .agg(F.sum("n").alias("n"), F.grouping_id(*names).alias("gid"))
     gids = {sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in s): _label(s) for s in sets}
     pairs = [x for g, label in gids.items() for x in (F.lit(g).cast("bigint"), F.lit(label))]
     return grouped.select(F.element_at(F.create_map(*pairs), F.col("gid")).alias("dims"),
@@ -56,7 +58,8 @@ def possible(spark, sizes: Mapping[str, int]) -> DataFrame:
 
 
 def missing(present: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
-    """The possible cells that are not present."""
+    """The possible cells that are not present. ``present`` should be stored: the
+    anti-join is pushed into each part of the possible cells and reads it there."""
     a, b = possible(present.sparkSession, sizes).alias("a"), present.alias("b")
     same = reduce(lambda x, c: x & (F.col(f"a.{c}") == F.col(f"b.{c}")), sizes, F.col("a.dims") == F.col("b.dims"))
     return a.join(b, same, "left_anti")

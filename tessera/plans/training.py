@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions.radix import decode
 from tessera.operators import diversity, mixture, nearcopy, pack, profile
 from tessera.plans import synthesis
-from tessera.session import stored
+from tessera.session import checkpointed, stored
 from tessera.sources.tables import table
 
 #: Tokens of a training sequence, and shards of the packing.
@@ -100,4 +100,4 @@ def diversity_audit(spark: SparkSession, root: str) -> DataFrame:
 def diversity_missing(spark: SparkSession, root: str) -> DataFrame:
     """The cells that no kept entry holds."""
     rows, sizes = _generated(spark, root)
-    return diversity.missing(diversity.cells(rows, sizes), sizes)
+    return diversity.missing(checkpointed(diversity.cells(rows, sizes)), sizes)

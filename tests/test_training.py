@@ -145,3 +145,12 @@ def test_diversity_counts_cells_and_finds_the_missing(spark):
         assert abs(r["entropy"] - entropy) < 1e-5 and abs(r["evenness"] - entropy / math.log2(possible)) < 1e-5
     lost = {(r["dims"], r["a"], r["b"], r["c"]) for r in diversity.missing(diversity.cells(df, sizes), sizes).collect()}
     assert ("a", 1, -1, -1) in lost and ("b+c", -1, 1, 2) in lost and ("b", -1, 0, -1) not in lost
+
+
+def test_cells_are_counted_before_the_grouping_sets(spark):
+    df = spark.createDataFrame([(0, 1)] * 5 + [(2, None)], "a int, b int")
+    got = diversity.cells(df, {"a": 3, "b": 2})
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 0, -1, 5), ("a", 2, -1, 1), ("a+b", 0, 1, 5), ("a+b", 2, -1, 1),
+                                                       ("b", -1, -1, 1), ("b", -1, 1, 5)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan.split("Expand")[1]  # rows are not repeated for each set
