@@ -255,3 +255,20 @@ def test_golden_manifest(spark, names):
     """The generator reproduces the published manifest exactly (entries,
     bytes, approx_tokens): three files incl. a four-example one, then all."""
     _check_golden(spark, names)
+
+
+def test_keyed_prompts_find_file_values_before_the_indices(spark):
+    """The title and the record's check are made once for each file, and the record's
+    texts do not go along with each index; failing files and templates still fail."""
+    g = synth.Grid(audiences=["a", "b"], perspectives=["p"], formats=["f"], templates=["{topic} {audience}", "{whom}"])
+    files = spark.createDataFrame([("s", "x_y", "d", ["p"], ["e"], ["m"]), ("s", "z", None, ["p"], ["e"], ["m"])],
+                                  "skill string, subtopic string, def string, principles array<string>, "
+                                  "examples array<string>, mistakes array<string>")
+    for drop in (False, True):
+        k = synth.keyed_prompts(files, g, 0, g.period - 1, drop_failed=drop)
+        plan = k._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[:plan.index("Generate explode")]
+        assert "translate(" not in above and "principles" not in above
+        rows = sorted((r["subtopic"], r["idx"], r["prompt"], r["key"] is not None) for r in k.collect())
+        ok = [("x_y", 0, "x y a", True), ("x_y", 1, "x y b", True)]
+        assert [r for r in rows if r[3]] == ok and len(rows) == (2 if drop else 8)
