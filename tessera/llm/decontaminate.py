@@ -84,6 +84,9 @@ def edit_distance_within(item: str, text: str) -> int:
 
 #: Bits of a limb of the vectors below, and pairs of a batch.
 LIMB, BATCH = 60, 2048
+#: Bits of a word, where carries beyond the last may be lost, and characters of
+#: the texts of a batch of pieces.
+WORD_BITS, CELLS = 64, 2 ** 21
 
 
 def edit_distances_within(pairs: list[tuple[str, str]]) -> list[int]:
@@ -147,6 +150,67 @@ def _distances(pairs: list[tuple[str, str]], limbs: int) -> list[int]:
     return best.tolist()
 
 
+def edit_distances_up_to(pairs: list[tuple[str, str]], limits: list[int]) -> list[int]:
+    """:func:`edit_distance_within` of each pair where that is at most its limit;
+    else a number above the limit. The distances of an item's pieces add up to that
+    of the item at most, so pieces of one word of bits rule most pairs out."""
+    out, rest = [0] * len(pairs), sorted(range(len(pairs)), key=lambda i: len(pairs[i][1]))
+    whole, start = [], 0
+    while rest:
+        b = 0
+        while b < len(rest):
+            some = rest[b:b + 4 * BATCH]
+            some = some[:max(1, CELLS // max(1, len(pairs[some[-1]][1])))]
+            b += len(some)
+            pieces = [(pairs[i][0][start:start + WORD_BITS], pairs[i][1]) for i in some]
+            for i, v in zip(some, _piece_distances(pieces)):
+                out[i] += v
+        start += WORD_BITS
+        near = [i for i in rest if out[i] <= limits[i]]
+        rest = [i for i in near if len(pairs[i][0]) > start]
+        whole += [i for i in near if WORD_BITS < len(pairs[i][0]) <= start]
+    for i, v in zip(whole, edit_distances_within([pairs[i] for i in whole])):
+        out[i] = v
+    return out
+
+
+def _piece_distances(pairs: list[tuple[str, str]]) -> list[int]:
+    """Distances of pairs whose items have ``WORD_BITS`` characters at most. Texts are
+    filled up with a character that matches nothing, which brings no item nearer."""
+    number = {item: k for k, item in enumerate(dict.fromkeys(item for item, _ in pairs))}
+    letters = np.array(sorted({ord(c) for item in number for c in item} | {0x110000}), np.uint32)
+    code = {int(c): k for k, c in enumerate(letters)}
+    table = np.zeros((len(number), len(letters) + 1), np.uint64)
+    for item, k in number.items():
+        for i, c in enumerate(item):
+            table[k, code[ord(c)]] |= np.uint64(1 << i)
+    flat, size = table.reshape(-1), np.array([len(item) for item, _ in pairs])
+    base = np.array([number[item] for item, _ in pairs]) * (len(letters) + 1)
+    ends = np.array([len(t) for _, t in pairs])
+    points = np.frombuffer("".join(t for _, t in pairs).encode("utf-32-le", "surrogatepass"), np.uint32)
+    k = np.searchsorted(letters, points)
+    codes = np.full((len(pairs), int(ends.max(initial=0))), len(letters), np.int64)
+    codes[np.arange(codes.shape[1]) < ends[:, None]] = np.where(letters[k] == points, k, len(letters))
+    columns = np.ascontiguousarray((codes + base[:, None]).T)
+    one = np.uint64(1)
+    top = np.maximum(size - 1, 0).astype(np.uint64)
+    up, down = np.full(len(pairs), ~np.uint64(0)), np.zeros(len(pairs), np.uint64)
+    now, best = size.copy(), size.copy()
+    for column in columns:
+        eq = flat.take(column)
+        diagonal = (((eq & up) + up) ^ up) | eq | down
+        right = down | ~(diagonal | up)
+        left = up & diagonal
+        now += (right >> top & one).view(np.int64)
+        now -= (left >> top & one).view(np.int64)
+        np.minimum(best, now, out=best)
+        right <<= one
+        left <<= one
+        up = left | ~(diagonal | right)
+        down = right & diagonal
+    return best.tolist()
+
+
 def class_of(n: int) -> tuple[int, int, int, int, int]:
     """The class of an item of ``n`` words."""
     return next(c for c in CLASSES if n >= c[0])
@@ -158,18 +222,30 @@ class Spelling:
     def __init__(self, names: list[str]):
         self.codes = np.array(names, dtype=f"U{SPELLED}").reshape(-1).view(np.uint32).reshape(len(names), SPELLED) \
             if names else np.zeros((0, SPELLED), np.uint32)
-        self.last = np.fromiter((min(len(w), SPELLED) - 1 for w in names), np.int64, len(names))
+        self.last = np.count_nonzero(self.codes, axis=1) - 1
+        self.seen: dict[tuple[bool, int], np.ndarray] = {}
+
+    def _column(self, end: bool, j: int, clipped: bool) -> np.ndarray:
+        """The character of each word at a place, plus one; looked up once."""
+        if (end, j) not in self.seen:
+            rows = np.arange(len(self.last))
+            at = np.maximum(self.last - j, 0) if end else np.minimum(j, self.last) if clipped else np.full(len(rows), j)
+            self.seen[end, j] = self.codes[rows, at].astype(np.uint64) + np.uint64(1)
+        return self.seen[end, j]
 
     def symbols(self, picks: list[tuple[bool, int]], bits: int) -> np.ndarray:
         """The symbol of each word, from 1, after 0 for no word: a hash of the
         characters at ``picks`` (from the end or the beginning, and how far in);
         without any, of all."""
-        rows, h = np.arange(len(self.last)), np.zeros(len(self.last), np.uint64)
-        places = [np.maximum(self.last - j, 0) if end else np.minimum(j, self.last) for end, j in picks] or \
-            [np.full(len(rows), j) for j in range(SPELLED)]
-        for at in places:
-            h = (h + self.codes[rows, at].astype(np.uint64) + np.uint64(1)) * MIX
+        h = np.zeros(len(self.last), np.uint64)
+        if not picks:
+            self.seen = {}  # places beyond a word count as such here
+        for end, j in picks or [(False, j) for j in range(SPELLED)]:
+            h += self._column(end, j, bool(picks))
+            h *= MIX
             h ^= h >> np.uint64(29)
+        if not picks:
+            self.seen = {}
         return np.concatenate(([0], (h >> np.uint64(64 - bits)).astype(np.int32) + 1)).astype(np.int32)
 
 
@@ -209,6 +285,8 @@ def compile_items(items: list[tuple[int, str | None]]) -> dict:
             picks = [(p >= PLACES, p % PLACES) for p in places]
             keys, _, gates = _walk(spelling.symbols(picks, bits)[flat], starts, moves, sampled, None, window)
             order = np.argsort(keys, kind="stable")
+            # of the first position the symbol alone decides
+            gates[0] = gates[0][_gate(_mixed(np.zeros(1, np.uint64), np.arange((1 << bits) + 1)))]
             repeats.append({"moves": moves, "sampled": sampled, "gates": gates, "picks": picks,
                             "keys": keys[order], "rows": order})
         classes.append({"window": window, "stride": stride, "bits": bits, "repeats": repeats,
@@ -217,33 +295,46 @@ def compile_items(items: list[tuple[int, str | None]]) -> dict:
             "texts": [" ".join(t) for t in texts], "ids": [ids_of[t] for t in texts]}
 
 
+def _mixed(key: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    key = (key + symbols.astype(np.uint64) + np.uint64(1)) * MIX
+    key ^= key >> np.uint64(29)
+    return key
+
+
+def _gate(key: np.ndarray) -> np.ndarray:
+    return (key >> np.uint64(64 - GATE_BITS)).astype(np.int64)
+
+
 def _walk(symbols: np.ndarray, starts: np.ndarray, moves: np.ndarray, sampled: np.ndarray,
           gates: list[np.ndarray] | None, window: int) -> tuple:
-    """Keys of the windows at ``starts``. With ``gates`` (hash tables of the
-    items' part keys) a window is left as soon as its part key is none of
-    theirs; without, the gates are built. Returns keys, the windows still
-    there, and gates."""
+    """Keys of the windows at ``starts``. With ``gates`` (tables of the items' first
+    symbols, then hash tables of their part keys) a window is left as soon as its
+    part key is none of theirs; without, the hash tables are built. Returns keys,
+    the windows still there, and gates."""
     at, live = starts.copy(), np.arange(len(starts))
     end = starts + window
     key = np.zeros(len(starts), np.uint64)
     built, wanted = [], set(sampled.tolist())
     for step in range(int(sampled[-1]) + 1):
-        here = np.where(at < end, symbols[np.minimum(at, len(symbols) - 1)], 0)
+        # as a step moves by one place at most, the first ones are within the window
+        here = symbols.take(at) if step < window else np.where(at < end, symbols.take(np.minimum(at, len(symbols) - 1)), 0)
         if step in wanted:
-            key = (key + here.astype(np.uint64) + np.uint64(1)) * MIX
-            key ^= key >> np.uint64(29)
-            gate = (key >> np.uint64(64 - GATE_BITS)).astype(np.int64)
             if gates is None:
+                key = _mixed(key, here)
                 table = np.zeros(1 << GATE_BITS, bool)
-                table[gate] = True
+                table[_gate(key)] = True
                 built.append(table)
             else:
-                on = gates[len(built)][gate]
-                built.append(None)
+                if built:
+                    key = _mixed(key, here)
+                on = np.flatnonzero(gates[len(built)].take(_gate(key) if built else here))
                 at, end, key, live, here = at[on], end[on], key[on], live[on], here[on]
+                if not built:
+                    key = _mixed(key, here)
+                built.append(None)
                 if not len(live):
                     break
-        at = at + moves[step][here]
+        at = at + moves[step].take(here)
     return key, live, built
 
 
@@ -266,13 +357,14 @@ def find(tables: dict, texts: list[str | None]) -> list[tuple[int, int, int]]:
 
 def _find(tables: dict, chunk: list[tuple[int, list[str]]]) -> list[tuple[int, int, int]]:
     gap = 2 * CLASSES[0][1]
-    number: dict[str, int] = {}
     lengths = np.array([len(ws) for _, ws in chunk], np.int64)
     first = np.concatenate(([0], np.cumsum(lengths + gap)[:-1]))
-    numbers = np.zeros(int(lengths.sum()) + gap * len(chunk), np.int32)
-    for (_, ws), at in zip(chunk, first.tolist()):
-        numbers[at:at + len(ws)] = np.fromiter((number.setdefault(w, len(number) + 1) for w in ws), np.int32, len(ws))
-    spelling = Spelling(list(number))
+    numbers = np.zeros(int(lengths.sum()) + gap * len(chunk), np.int64)
+    every = np.empty(int(lengths.sum()), object)
+    every[:] = [w for _, ws in chunk for w in ws]
+    number, names = pd.factorize(every)
+    numbers[np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(len(every))] = number + 1
+    spelling = Spelling(names.tolist())
     seeds: set[tuple[int, int, int]] = set()
     for c in tables["classes"]:
         stride = c["stride"]
@@ -281,7 +373,7 @@ def _find(tables: dict, chunk: list[tuple[int, list[str]]]) -> list[tuple[int, i
         place = (np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
         starts = first[doc] + place
         for r in c["repeats"]:
-            symbols = spelling.symbols(r["picks"], c["bits"])[numbers]
+            symbols = spelling.symbols(r["picks"], c["bits"]).take(numbers)
             keys, live, _ = _walk(symbols, starts, r["moves"], r["sampled"], r["gates"], c["window"])
             lo = np.searchsorted(r["keys"], keys, "left")
             hi = np.searchsorted(r["keys"], keys, "right")
@@ -302,8 +394,9 @@ def _find(tables: dict, chunk: list[tuple[int, list[str]]]) -> list[tuple[int, i
         tried.append((d, k))
         pairs.append((tables["texts"][k], " ".join(ws[max(0, start - slack):max(0, start + n + 2 * slack)])))
     best: dict[tuple[int, int], int] = {}
-    for (d, k), distance in zip(tried, edit_distances_within(pairs)):
-        if distance <= math.floor((1 - SIMILARITY) * len(tables["texts"][k]) + 1e-9):
+    limits = [math.floor((1 - SIMILARITY) * len(item) + 1e-9) for item, _ in pairs]
+    for (d, k), distance, limit in zip(tried, edit_distances_up_to(pairs, limits), limits):
+        if distance <= limit:
             best[d, k] = min(distance, best.get((d, k), distance))
     return [(chunk[d][0], k, v) for (d, k), v in best.items()]
 

@@ -36,6 +36,26 @@ def test_many_edit_distances_at_a_time():
     assert D.edit_distances_within(pairs) == [D.edit_distance_within(*p) for p in pairs]
 
 
+def test_distances_up_to_a_limit(monkeypatch):
+    """Exact up to the limit, above it beyond; few pairs need the whole item's distance."""
+    rnd = random.Random(6)
+    text = lambda n, of="abcdefgh é\U0001F600": "".join(rnd.choice(of) for _ in range(n))
+    pairs = [("", "x"), ("x", ""), ("abc" * 50, ""), ("a" * 300, "a" * 300)]
+    for n in (1, 2, 30, 63, 64, 65, 127, 128, 129, 200, 400):
+        for share in (0, 0.1, 0.25):
+            item = text(n)
+            pairs += [(item, text(20) + "".join(c if rnd.random() >= share else text(2) for c in item) + text(9)) for _ in range(3)]
+        pairs += [(text(n), text(2 * n)) for _ in range(20)]
+    limits = [len(item) // 5 for item, _ in pairs]
+    whole, real = [], D.edit_distances_within
+    monkeypatch.setattr(D, "edit_distances_within", lambda p: whole.extend(p) or real(p))
+    got = D.edit_distances_up_to(pairs, limits)
+    for (item, other), limit, v in zip(pairs, limits, got):
+        want = plain_distance(item, other)
+        assert v == want if want <= limit else v > limit
+    assert len(whole) < len(pairs) / 4 and D.edit_distances_up_to([], []) == []
+
+
 def test_verbatim_copies_are_all_found_and_clean_texts_left(spark):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF01}/benchmark.parquet").collect()]
     docs = [r["text"] for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()]
