@@ -18,6 +18,8 @@ from tessera.session import stored
 
 #: Words of a shingle, and the least similarity of a pair.
 SHINGLE, SIMILARITY = 5, 0.8
+#: Names of classes up to which they are broadcast.
+BROADCAST_NAMES = 1_000_000
 
 
 def shingles(text: Column, n: int = SHINGLE) -> Column:
@@ -46,12 +48,18 @@ def near_copies(texts: DataFrame, key: str, text: str, similarity: float = SIMIL
     word are in no pair. ``key`` must not be null for texts that are to be in one."""
     bare = texts.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).where(F.col("id").isNotNull())
     first = bare.groupBy(F.md5("t").alias("h")).agg(F.min("id").alias("id"), F.first("t").alias("t"))
-    sets = stored(first.select("id", shingles(F.col("t"), n).alias("s")).where(F.size("s") > 0), "near-sets")
-    rarity = sets.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    held = sets.select("id", F.size("s").alias("n"), F.explode("s").alias("s")).join(rarity, "s")
+    sets = first.select("id", shingles(F.col("t"), n).alias("s")).where(F.size("s") > 0)
+    sets = stored(sets.select("id", F.size("s").alias("n"), "s"), "near-sets")
+    # counted and joined where it lies: both read this one exchange (the filter is
+    # what a later join would infer on one side only)
+    held = sets.select("id", F.explode("s").alias("s")).where("id is not null and s is not null").repartition("s")
+    rarity = held.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("id").alias("lo"), F.max("id").alias("hi")) \
+        .where("lo < hi").select("s", "df")
+    held = held.join(rarity, "s")
     # a shingle that one text has alone comes first in any order by rarity and
     # meets nothing: it takes a place of the prefix and is not joined
-    ranked = held.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("r"))
+    ranked = held.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("r")) \
+        .join(sets.select("id", "n"), "id")
     alone = F.col("n") - F.size("r")
     length = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)).cast("int") + 1
     prefix = ranked.select("id", "n", F.posexplode(F.slice("r", F.lit(1), F.greatest(length - alone, F.lit(0)))).alias("p", "x"),
@@ -64,8 +72,13 @@ def near_copies(texts: DataFrame, key: str, text: str, similarity: float = SIMIL
     met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.id") < F.col("y.id"))
                  & (F.least(nx, ny) >= F.greatest(nx, ny) * F.lit(similarity) - F.lit(1e-9)) & (possible >= needed))
     pairs = stored(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "near-pairs")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a") \
-        .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    # the sets of the classes that a pair names, the others stay where they are
+    named = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-named")
+    if named.count() <= BROADCAST_NAMES:
+        named = F.broadcast(named)
+    few = sets.join(named, "id", "left_semi")
+    both = pairs.join(few.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a") \
+        .join(few.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     counted = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("shared"), (F.size("sa") + F.size("sb")).alias("total"))
     alike = F.col("shared") / (F.col("total") - F.col("shared"))
     return counted.where(F.col("shared") >= F.lit(similarity) * (F.col("total") - F.col("shared")) - F.lit(1e-9)) \

@@ -48,3 +48,17 @@ def test_equals_all_pairs(spark, limit, n):
 def test_empty(spark):
     df = spark.createDataFrame([], "id long, t string")
     assert N.near_copies(df, "id", "t").count() == 0 == N.members(df, "id", "t").count()
+
+
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_only_sets_that_a_pair_names_are_joined(spark, monkeypatch, bound):
+    """Of many texts without a near copy none is named; both forms of the join agree."""
+    made, real = {}, N.stored
+    monkeypatch.setattr(N, "BROADCAST_NAMES", bound)
+    monkeypatch.setattr(N, "stored", lambda df, name: made.setdefault(name, real(df, name)))
+    rows = [(i, " ".join(f"t{i}w{k}" for k in range(30))) for i in range(200)]
+    rows += [(300 + i, rows[i][1] + " more") for i in range(3)]
+    df = spark.createDataFrame(rows, "id long, t string").repartition(3)
+    got = {(r["a"], r["b"], r["shared"]) for r in N.near_copies(df, "id", "t").collect()}
+    assert got == all_pairs(rows, N.SIMILARITY, N.SHINGLE) == {(i, 300 + i, 26) for i in range(3)}
+    assert sorted(r["id"] for r in made["near-named"].collect()) == [0, 1, 2, 300, 301, 302]
