@@ -46,15 +46,29 @@ REPEATS, SAMPLED = 16, 5
 #: Characters of a word that symbols are made of, and places from either end.
 SPELLED, PLACES = 24, 4
 SEED = 20240501
-CHUNK_WORDS = 300_000
+#: Words of texts that are searched at a time, and characters of stretches that are
+#: verified at a time.
+CHUNK_WORDS, STRETCHES = 300_000, 2 ** 23
 WORD = re.compile(r"[^\W_]+")
+#: What is no letter or digit, of ASCII, as spaces; other such characters of a text
+#: up to which they are replaced one by one.
+SPACED = {c: " " for c in range(128) if not chr(c).isalnum()}
+FEW = 64
 MIX = np.uint64(0x9E3779B97F4A7C15)
 GATE_BITS = 18
 
 
 def words(text: str | None) -> list[str]:
     """Lower-cased runs of letters and digits of the whole text."""
-    return WORD.findall((text or "").lower())
+    text = (text or "").lower()
+    if not text.isascii():
+        others = [c for c in set(text) if not c.isalnum()]
+        if len(others) > FEW:
+            return WORD.findall(text)
+        for c in others:
+            text = text.replace(c, " ")
+        return text.split()
+    return text.translate(SPACED).split()
 
 
 def edit_distance_within(item: str, text: str) -> int:
@@ -154,13 +168,13 @@ def edit_distances_up_to(pairs: list[tuple[str, str]], limits: list[int]) -> lis
     """:func:`edit_distance_within` of each pair where that is at most its limit;
     else a number above the limit. The distances of an item's pieces add up to that
     of the item at most, so pieces of one word of bits rule most pairs out."""
-    out, rest = [0] * len(pairs), sorted(range(len(pairs)), key=lambda i: len(pairs[i][1]))
+    out, rest = [0] * len(pairs), sorted(range(len(pairs)), key=lambda i: -len(pairs[i][1]))
     whole, start = [], 0
     while rest:
         b = 0
         while b < len(rest):
             some = rest[b:b + 4 * BATCH]
-            some = some[:max(1, CELLS // max(1, len(pairs[some[-1]][1])))]
+            some = some[:max(1, CELLS // max(1, len(pairs[some[0]][1])))]
             b += len(some)
             pieces = [(pairs[i][0][start:start + WORD_BITS], pairs[i][1]) for i in some]
             for i, v in zip(some, _piece_distances(pieces)):
@@ -175,10 +189,10 @@ def edit_distances_up_to(pairs: list[tuple[str, str]], limits: list[int]) -> lis
 
 
 def _piece_distances(pairs: list[tuple[str, str]]) -> list[int]:
-    """Distances of pairs whose items have ``WORD_BITS`` characters at most. Texts are
-    filled up with a character that matches nothing, which brings no item nearer."""
+    """Distances of pairs whose items have ``WORD_BITS`` characters at most, the longest
+    text first, so that those with a character left at a step are the first ones."""
     number = {item: k for k, item in enumerate(dict.fromkeys(item for item, _ in pairs))}
-    letters = np.array(sorted({ord(c) for item in number for c in item} | {0x110000}), np.uint32)
+    letters = np.array(sorted({ord(c) for c in set().union(*number)} | {0x110000}), np.uint32)
     code = {int(c): k for k, c in enumerate(letters)}
     table = np.zeros((len(number), len(letters) + 1), np.uint64)
     for item, k in number.items():
@@ -188,27 +202,39 @@ def _piece_distances(pairs: list[tuple[str, str]]) -> list[int]:
     base = np.array([number[item] for item, _ in pairs]) * (len(letters) + 1)
     ends = np.array([len(t) for _, t in pairs])
     points = np.frombuffer("".join(t for _, t in pairs).encode("utf-32-le", "surrogatepass"), np.uint32)
-    k = np.searchsorted(letters, points)
-    codes = np.full((len(pairs), int(ends.max(initial=0))), len(letters), np.int64)
-    codes[np.arange(codes.shape[1]) < ends[:, None]] = np.where(letters[k] == points, k, len(letters))
-    columns = np.ascontiguousarray((codes + base[:, None]).T)
+    place = np.full(0x110001, len(letters), np.int32)
+    place[letters] = np.arange(len(letters))
+    codes = np.full((len(pairs), int(ends.max(initial=0))), len(letters), np.int32)
+    codes[np.arange(codes.shape[1]) < ends[:, None]] = place.take(points)
+    columns = np.add(codes.T, base, dtype=np.int64, order="C")
+    left_at = np.searchsorted(-ends, -np.arange(len(columns)), "left").tolist()
     one = np.uint64(1)
     top = np.maximum(size - 1, 0).astype(np.uint64)
     up, down = np.full(len(pairs), ~np.uint64(0)), np.zeros(len(pairs), np.uint64)
     now, best = size.copy(), size.copy()
-    for column in columns:
-        eq = flat.take(column)
-        diagonal = (((eq & up) + up) ^ up) | eq | down
-        right = down | ~(diagonal | up)
-        left = up & diagonal
+    every = up, down, now, best, top
+    for n, column in zip(left_at, columns):
+        up, down, now, best, top = (x[:n] for x in every)
+        eq = flat.take(column[:n])
+        diagonal = eq & up
+        diagonal += up
+        diagonal ^= up
+        diagonal |= eq
+        diagonal |= down
+        right = diagonal | up
+        np.invert(right, out=right)
+        right |= down
+        np.bitwise_and(up, diagonal, out=up)  # what goes left
         now += (right >> top & one).view(np.int64)
-        now -= (left >> top & one).view(np.int64)
+        now -= (up >> top & one).view(np.int64)
         np.minimum(best, now, out=best)
         right <<= one
-        left <<= one
-        up = left | ~(diagonal | right)
-        down = right & diagonal
-    return best.tolist()
+        up <<= one
+        np.bitwise_and(right, diagonal, out=down)
+        diagonal |= right
+        np.invert(diagonal, out=diagonal)
+        up |= diagonal
+    return every[3].tolist()
 
 
 def class_of(n: int) -> tuple[int, int, int, int, int]:
@@ -283,7 +309,7 @@ def compile_items(items: list[tuple[int, str | None]]) -> dict:
                                 for i in range(n)]) if window > 1 else np.array([0])
             places = rng.choice(2 * PLACES, spelled, replace=False).tolist()
             picks = [(p >= PLACES, p % PLACES) for p in places]
-            keys, _, gates = _walk(spelling.symbols(picks, bits)[flat], starts, moves, sampled, None, window)
+            keys, _, gates = _walk(flat, spelling.symbols(picks, bits), starts, flat.take(starts), moves, sampled, None, window)
             order = np.argsort(keys, kind="stable")
             # of the first position the symbol alone decides
             gates[0] = gates[0][_gate(_mixed(np.zeros(1, np.uint64), np.arange((1 << bits) + 1)))]
@@ -305,57 +331,88 @@ def _gate(key: np.ndarray) -> np.ndarray:
     return (key >> np.uint64(64 - GATE_BITS)).astype(np.int64)
 
 
-def _walk(symbols: np.ndarray, starts: np.ndarray, moves: np.ndarray, sampled: np.ndarray,
-          gates: list[np.ndarray] | None, window: int) -> tuple:
-    """Keys of the windows at ``starts``. With ``gates`` (tables of the items' first
-    symbols, then hash tables of their part keys) a window is left as soon as its
-    part key is none of theirs; without, the hash tables are built. Returns keys,
-    the windows still there, and gates."""
-    at, live = starts.copy(), np.arange(len(starts))
+def _walk(numbers: np.ndarray, symbols: np.ndarray, starts: np.ndarray, first: np.ndarray, moves: np.ndarray,
+          sampled: np.ndarray, gates: list[np.ndarray] | None, window: int) -> tuple:
+    """Keys of the windows at ``starts``, of words ``numbers`` (there ``first``) with
+    ``symbols``. With ``gates`` (tables of the items' first symbols, then hash tables of
+    their part keys) a window is left as soon as its part key is none of theirs; without,
+    the hash tables are built. Returns keys, the windows still there, and gates."""
+    at, live = starts, np.arange(len(starts))
     end = starts + window
     key = np.zeros(len(starts), np.uint64)
     built, wanted = [], set(sampled.tolist())
     for step in range(int(sampled[-1]) + 1):
         # as a step moves by one place at most, the first ones are within the window
-        here = symbols.take(at) if step < window else np.where(at < end, symbols.take(np.minimum(at, len(symbols) - 1)), 0)
+        word = first if not step else numbers.take(at) if step < window \
+            else np.where(at < end, numbers.take(np.minimum(at, len(numbers) - 1)), 0)
         if step in wanted:
             if gates is None:
-                key = _mixed(key, here)
+                key = _mixed(key, symbols.take(word))
                 table = np.zeros(1 << GATE_BITS, bool)
                 table[_gate(key)] = True
                 built.append(table)
             else:
                 if built:
-                    key = _mixed(key, here)
-                on = np.flatnonzero(gates[len(built)].take(_gate(key) if built else here))
-                at, end, key, live, here = at[on], end[on], key[on], live[on], here[on]
+                    key = _mixed(key, symbols.take(word))
+                on = np.flatnonzero(gates[len(built)].take(_gate(key)) if built else gates[0].take(symbols).take(word))
+                at, end, key, live, word = at[on], end[on], key[on], live[on], word[on]
                 if not built:
-                    key = _mixed(key, here)
+                    key = _mixed(key, symbols.take(word))
                 built.append(None)
                 if not len(live):
                     break
-        at = at + moves[step].take(here)
+        # looked up for each word while there are more windows
+        at = at + (moves[step].take(symbols).take(word) if len(word) > len(symbols) else moves[step].take(symbols.take(word)))
     return key, live, built
 
 
 def find(tables: dict, texts: list[str | None]) -> list[tuple[int, int, int]]:
     """``(text number, item text number, distance)`` of every text and item
     that match, with the best distance found."""
-    out: list[tuple[int, int, int]] = []
+    tried: list[tuple[int, int]] = []
+    pairs: list[tuple[str, str]] = []
+    best: dict[tuple[int, int], int] = {}
     chunk: list[tuple[int, list[str]]] = []
-    size = 0
+    size = held = 0
+
+    def search() -> None:
+        nonlocal size, held
+        for n, k, stretch in _find(tables, chunk) if chunk else []:
+            tried.append((n, k))
+            pairs.append((tables["texts"][k], stretch))
+            held += len(stretch)
+        chunk.clear()
+        size = 0
+
+    def verify() -> None:
+        nonlocal held
+        limits = [math.floor((1 - SIMILARITY) * len(item) + 1e-9) for item, _ in pairs]
+        for at, distance, limit in zip(tried, edit_distances_up_to(pairs, limits), limits):
+            if distance <= limit:
+                best[at] = min(distance, best.get(at, distance))
+        tried.clear()
+        pairs.clear()
+        held = 0
+
+    copies = defaultdict(list)
     for n, text in enumerate(texts):
+        copies[text].append(n)
+    for text, (n, *_) in copies.items():
         ws = words(text)
         if ws:
             chunk.append((n, ws))
             size += len(ws)
         if size >= CHUNK_WORDS:
-            out += _find(tables, chunk)
-            chunk, size = [], 0
-    return out + (_find(tables, chunk) if chunk else [])
+            search()
+        if held >= STRETCHES:
+            verify()
+    search()
+    verify()
+    return [(m, k, v) for (n, k), v in best.items() for m in copies[texts[n]]]
 
 
-def _find(tables: dict, chunk: list[tuple[int, list[str]]]) -> list[tuple[int, int, int]]:
+def _find(tables: dict, chunk: list[tuple[int, list[str]]]) -> Iterator[tuple[int, int, str]]:
+    """``(text number, item text number, stretch)`` of the candidates."""
     gap = 2 * CLASSES[0][1]
     lengths = np.array([len(ws) for _, ws in chunk], np.int64)
     first = np.concatenate(([0], np.cumsum(lengths + gap)[:-1]))
@@ -372,9 +429,10 @@ def _find(tables: dict, chunk: list[tuple[int, list[str]]]) -> list[tuple[int, i
         doc = np.repeat(np.arange(len(chunk)), counts)
         place = (np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
         starts = first[doc] + place
+        begun = numbers.take(starts)
         for r in c["repeats"]:
-            symbols = spelling.symbols(r["picks"], c["bits"]).take(numbers)
-            keys, live, _ = _walk(symbols, starts, r["moves"], r["sampled"], r["gates"], c["window"])
+            keys, live, _ = _walk(numbers, spelling.symbols(r["picks"], c["bits"]), starts, begun,
+                                  r["moves"], r["sampled"], r["gates"], c["window"])
             lo = np.searchsorted(r["keys"], keys, "left")
             hi = np.searchsorted(r["keys"], keys, "right")
             n = hi - lo
@@ -383,22 +441,13 @@ def _find(tables: dict, chunk: list[tuple[int, list[str]]]) -> list[tuple[int, i
             k, o = c["where"][row].T
             seeds.update(zip(doc[live[at]].tolist(), k.tolist(), (place[live[at]] - o).tolist()))
     reached: dict[tuple[int, int], int] = {}
-    tried: list[tuple[int, int]] = []
-    pairs: list[tuple[str, str]] = []
     for d, k, start in sorted(seeds):
         if (d, k) in reached and start <= reached[d, k]:
             continue  # the stretch around an earlier seed takes this one in
         n, ws = len(tables["words"][k]), chunk[d][1]
         slack = n // 4 + 2
         reached[d, k] = start + slack // 2
-        tried.append((d, k))
-        pairs.append((tables["texts"][k], " ".join(ws[max(0, start - slack):max(0, start + n + 2 * slack)])))
-    best: dict[tuple[int, int], int] = {}
-    limits = [math.floor((1 - SIMILARITY) * len(item) + 1e-9) for item, _ in pairs]
-    for (d, k), distance, limit in zip(tried, edit_distances_up_to(pairs, limits), limits):
-        if distance <= limit:
-            best[d, k] = min(distance, best.get((d, k), distance))
-    return [(chunk[d][0], k, v) for (d, k), v in best.items()]
+        yield chunk[d][0], k, " ".join(ws[max(0, start - slack):max(0, start + n + 2 * slack)])
 
 
 def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:

@@ -145,3 +145,24 @@ def test_blocks_cover_the_benchmark_once(spark, monkeypatch):
     items = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "item_id long, text string")
     blocks = list(D.blocks_of(items))
     assert len(blocks) > 3 and sorted(i for b in blocks for i, _ in b) == list(range(40))
+
+
+def test_copies_of_a_text_are_searched_once(monkeypatch):
+    item = "the quick brown fox jumps over the lazy dog near the old river bank"
+    tables = D.compile_items([(1, item)])
+    seen, real = [], D.words
+    monkeypatch.setattr(D, "words", lambda t: seen.append(t) or real(t))
+    texts = ["so " + item, "nothing of it", None, *["so " + item] * 40, "nothing of it", None]
+    found = D.find(tables, texts)
+    assert sorted(found) == [(n, 0, 0) for n, t in enumerate(texts) if t and item in t]
+    assert len(seen) == 3
+
+
+def test_words_are_runs_of_letters_and_digits():
+    import random
+    rnd = random.Random(3)
+    signs = [chr(c) for c in range(0x3000)] + ["\U0001F600", "\U0001D7D8", "中", " ", "İ"]
+    texts = ["".join(rnd.choice(signs[:top]) for _ in range(n)) for top in (128, 256, 0x250, len(signs)) for n in (0, 9, 80, 400) for _ in range(20)]
+    texts += ["Ünï_cöde, «ça va»? x\x1cy\x85z" * 3]
+    for t in texts:
+        assert D.words(t) == D.WORD.findall(t.lower())
