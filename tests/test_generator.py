@@ -11,7 +11,7 @@ import golden
 from tessera.model import DEFINITION
 from tessera.operators import dedup, synth
 from tessera.operators.manifest import chat_manifest, measured_manifest
-from tessera.plans.synthesis import SECTION, section_pattern
+from tessera.plans.synthesis import SECTION, SECTIONS, outline, section_pattern
 
 GRID = synth.Grid(audiences=["a0", "a1", "a2"], perspectives=["p0", "p1"], formats=["f0", "f1"],
                   templates=["T {topic} {audience} {perspective} {fmt}",
@@ -150,6 +150,22 @@ def test_section_pattern_equals_titles_and_bodies(spark):
     assert {bool(r["b"]) for r in got} == {True, False}
 
 
+def test_outline_is_short_and_keeps_what_the_pattern_tells(spark):
+    rnd = random.Random(12)
+    long = ["a long body without any star, and no stop", "  a body of some words that ends so.", " " * 30, "\n" * 30, "é中 " * 12 + "."]
+    short = ["", "*", "**", "***", " ", ".", "One.", "Two b.", "One", "**One.**", "**Two b.**", "x"]
+    texts = ["".join(rnd.choice(short + long + ["*", "**"]) for _ in range(rnd.randint(1, 9))) for _ in range(1500)]
+    texts += [f"{a}**One.**{b}**Two b.**{c}" for a in (*long, "") for b in (*short, *long) for c in (*short, *long)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    names, text = ["One", "Two b"], outline(F.col("t"), ["One", "Two b"])
+    got = df.select("t", F.rlike("t", F.lit(section_pattern(names))).alias("a"), F.rlike(text, F.lit(section_pattern(names))).alias("b")).collect()
+    assert [r["t"] for r in got if r["a"] != r["b"]] == [] and {r["b"] for r in got} == {True, False, None}
+    body = "A body of a section, as long as they are. " * 8
+    df = spark.createDataFrame([("".join(f"**{s}.** {body}" for s in SECTIONS),)], "t string")
+    size, = df.select(F.length(outline(F.col("t"), SECTIONS))).first()
+    assert size < 250
+
+
 def test_many_groups_of_many_patterns(spark, monkeypatch):
     """Groups share patterns; the broadcast of the plans and the shares beyond it
     give what a walk of each group gives."""
