@@ -36,6 +36,23 @@ def test_sink_scan_round_trip(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(skill" in plan
 
 
+def test_many_compressed_files_have_no_checksum_files_and_are_listed_in_few_tasks(spark, tmp_dir):
+    rows = spark.range(80).select(F.lit("s").alias("skill"), F.col("id").cast("string").alias("subtopic"), F.lit('{"messages": []}').alias("line"))
+    packed = os.path.join(tmp_dir, "packed")
+    write_corpus(rows, packed, compression="gzip")
+    names = [f for p, _, files in os.walk(os.path.join(packed, "skill=s")) for f in files]
+    assert len(names) == 80 and all(f.endswith(".gz") for f in names)
+    sc, key = spark.sparkContext, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    conf = spark.conf.get(key)
+    sc.setJobGroup("listing", "")
+    scanned = scan_chat_lines(spark, packed, layout="hive")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in sc.statusTracker().getJobIdsForGroup("listing") for s in sc.statusTracker().getJobInfo(j).stageIds]
+    tasks = [sc.statusTracker().getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= sc.defaultParallelism and spark.conf.get(key) == conf
+    assert scanned.count() == 80
+
+
 def test_compressed_corpus_has_the_same_manifest(spark, tmp_dir):
     ent = _entries(spark).unionByName(_entries(spark).crossJoin(spark.range(200)).drop("id"))
     plain, packed = os.path.join(tmp_dir, "plain"), os.path.join(tmp_dir, "packed")
